@@ -51,28 +51,17 @@ def _lanes(
     )
 
 
-def silent_lanes(
+def zero_rows(
     flows: DataFrame,
     keys: Sequence[str] = (),
     attributes: Sequence[str] = PARTNER_ATTRIBUTES,
     null_is_present: bool = False,
 ) -> DataFrame:
-    """Lanes that have silent months, with those months in the array `silent`.
+    """The rows zero_fill adds.
 
     A row without a weight does not count as present unless null_is_present.
     """
-    lanes = _lanes(flows, keys, attributes, null_is_present)
-    return lanes.filter(F.size("silent") > 0).drop("n_rows")
-
-
-def zero_rows(
-    flows: DataFrame,
-    keys: Sequence[str] = (),
-    attributes: Sequence[str] = PARTNER_ATTRIBUTES,
-    null_is_present: bool = False,
-) -> DataFrame:
-    """The rows zero_fill adds."""
-    cells = silent_lanes(flows, keys, attributes, null_is_present).withColumn(
+    cells = _lanes(flows, keys, attributes, null_is_present).withColumn(
         "month", F.explode("silent")
     )
     return cells.select(
@@ -92,7 +81,10 @@ def zero_fill(
     attributes: Sequence[str] = PARTNER_ATTRIBUTES,
     null_is_present: bool = False,
 ) -> DataFrame:
-    """Flows plus a zero row per silent cell; columns other than attributes are NULL there."""
+    """Flows plus a zero row per silent cell; columns other than attributes are NULL there.
+
+    Pass attributes=() for flows that carry codes only and get their names afterwards.
+    """
     added = zero_rows(flows, keys, attributes, null_is_present)
     return flows.unionByName(added, allowMissingColumns=True)
 

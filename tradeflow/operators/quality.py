@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions import month_start, pct
@@ -28,29 +28,29 @@ def constant_violations(
 ) -> DataFrame:
     """Values of the given columns outside their expected set, and expected values never seen.
 
-    Columns: column, value, n_rows (0 for a value that is absent). One pass: every column is
-    counted per value from the same scan, so the shuffle carries distinct values, not rows.
+    Columns: column, value, n_rows (0 for a value that is absent). All columns are counted
+    in one scan and one shuffle, which carries distinct values, not rows.
     """
-    spark = df.sparkSession
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value"))
-            for name in expected
-        ]
-    )
-    counted = (
-        df.select(F.explode(pairs).alias("pair"))
-        .groupBy("pair.column", "pair.value")
-        .agg(F.count("*").alias("n_rows"))
-    )
-    wanted = spark.createDataFrame(
-        [(name, str(v)) for name, values in expected.items() for v in values],
-        "column string, value string",
-    ).withColumn("wanted", F.lit(True))
+
+    def pair(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("column"), value.cast("string").alias("value"))
+
+    def exploded(source: DataFrame, pairs: list[Column], n_rows: int, wanted: bool) -> DataFrame:
+        return source.select(
+            F.explode(F.array(*pairs)).alias("pair"),
+            F.lit(n_rows).alias("n"),
+            F.lit(wanted).alias("wanted"),
+        )
+
+    seen = exploded(df, [pair(name, F.col(name)) for name in expected], 1, False)
+    listed = [pair(name, F.lit(v)) for name, values in expected.items() for v in values]
+    wanted = exploded(df.sparkSession.range(1), listed, 0, True)
     return (
-        counted.join(wanted, ["column", "value"], "full")
-        .filter(F.col("wanted").isNull() | F.col("n_rows").isNull())
-        .select("column", "value", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+        seen.unionByName(wanted)
+        .groupBy("pair.column", "pair.value")
+        .agg(F.sum("n").alias("n_rows"), F.bool_or("wanted").alias("wanted"))
+        .filter((F.col("n_rows") == 0) | ~F.col("wanted"))
+        .drop("wanted")
     )
 
 
@@ -93,7 +93,7 @@ def _reconciled(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _comparable():
+def _comparable() -> Column:
     return (F.col("n_detail") > 0) & (F.col("n_world") > 0) & (F.col("world") > 0)
 
 

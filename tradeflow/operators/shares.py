@@ -34,17 +34,16 @@ def _tonnes(weight: Column) -> Column:
 
 def top_origins(flows: DataFrame, n: int = TOP_N, keys: Sequence[str] = ()) -> DataFrame:
     """The n largest origins by volume; ties go by name. rank starts at 1."""
-    total = origin_month(flows, keys).groupBy(*keys, "partnerName").agg(
-        _tonnes(F.sum("netWgt")).alias("total_t")
-    )
+    total = flows.groupBy(*keys, "partnerName").agg(_tonnes(F.sum("netWgt")).alias("total_t"))
     by_volume = Window.partitionBy(*keys).orderBy(F.desc("total_t"), "partnerName")
     return total.withColumn("rank", F.row_number().over(by_volume)).filter(F.col("rank") <= n)
 
 
 def _ranked_months(flows: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
     """The rollup with the rank of each origin, NULL for those beyond the top n."""
-    top = top_origins(flows, n, keys).drop("total_t")
-    return origin_month(flows, keys).join(top, [*keys, "partnerName"], "left")
+    rollup = origin_month(flows, keys)
+    top = top_origins(rollup, n, keys).drop("total_t")
+    return rollup.join(top, [*keys, "partnerName"], "left")
 
 
 def origin_monthly(

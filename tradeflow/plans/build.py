@@ -12,13 +12,25 @@ from tradeflow.operators.enrich import enrich
 from tradeflow.schemas import FLOWS
 
 
+def detail(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Raw lines -> one row per reporter, partner and month, breakdowns removed."""
+    return split_detail(totals_only(raw, keys))
+
+
 def named_detail(
     raw: DataFrame, partners: DataFrame, reporters: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Raw lines -> partner detail with names."""
-    return enrich(split_detail(totals_only(raw, keys)), partners, reporters)
+    return enrich(detail(raw, keys), partners, reporters)
+
 
+def flows(
+    raw: DataFrame, partners: DataFrame, reporters: DataFrame, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Raw lines -> the dense fact table, columns in the published order after the keys.
 
-def flows(named: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Named detail -> the dense fact table, columns in the published order after the keys."""
-    return zero_fill(named, keys).select(*keys, *FLOWS.fieldNames())
+    Zeros are filled in on bare codes and names joined last: names depend on the codes alone,
+    so the result is that of filling named detail, without carrying text through the shuffle.
+    """
+    dense = zero_fill(detail(raw, keys), keys, attributes=())
+    return enrich(dense, partners, reporters).select(*keys, *FLOWS.fieldNames())

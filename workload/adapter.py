@@ -191,11 +191,13 @@ class Fixture:
 
     @cached_property
     def flows(self) -> DataFrame:
-        return self.store.put("flows", build.flows(self.named), ["refYear"])
+        dense = build.flows(self.raw, self.partners, self.reporters)
+        return self.store.put("flows", dense, ["refYear"])
 
     @cached_property
     def flows_by_type(self) -> DataFrame:
-        return self.store.put("flows_by_type", build.flows(self.named_by_type, COMMODITY), ["refYear"])
+        dense = build.flows(self.raw_by_type, self.partners, self.reporters, COMMODITY)
+        return self.store.put("flows_by_type", dense, ["refYear"])
 
     @cached_property
     def zone(self) -> DataFrame:

@@ -347,6 +347,7 @@ STATEMENTS: dict[str, str] = {
                  AS special_pct
         FROM named""",
     "zero_fill": f"SELECT {FLOW_COLUMNS} FROM flows",
+    "flows": f"SELECT {FLOW_COLUMNS} FROM flows",
     "zero_fill_summary": """
         SELECT (SELECT COUNT(*) FROM named) AS n_before, (SELECT COUNT(*) FROM zeros) AS n_added,
                (SELECT COUNT(*) FROM flows) AS n_after""",

@@ -22,6 +22,7 @@ from tradeflow.operators import (
     zone,
 )
 from tradeflow.plans import build, marts
+from tradeflow.schemas import FLOWS
 from tradeflow.sources import landing
 from tradeflow.streaming import ingest
 from workload.adapter import (
@@ -217,7 +218,13 @@ def special_share(fx: Fixture) -> DataFrame:
 
 @query
 def zero_fill(fx: Fixture) -> DataFrame:
-    return build.flows(fx.named)
+    return densify.zero_fill(fx.named).select(*FLOWS.fieldNames())
+
+
+@query
+def flows(fx: Fixture) -> DataFrame:
+    """The whole build from raw lines, as the stored fact table holds it."""
+    return build.flows(fx.raw, fx.partners, fx.reporters)
 
 
 @query
@@ -439,7 +446,8 @@ def mart_orphan_dates(fx: Fixture) -> DataFrame:
 
 @query
 def zero_fill_by_commodity(fx: Fixture) -> DataFrame:
-    return build.flows(fx.named_by_type, COMMODITY)
+    dense = densify.zero_fill(fx.named_by_type, COMMODITY)
+    return dense.select(*COMMODITY, *FLOWS.fieldNames())
 
 
 @query
