@@ -29,9 +29,10 @@ def pct(num: Column, den: Column) -> Column:
 
 def pearson(x: str, y: str) -> Column:
     """Pearson correlation over rows where both are present; NULL if either side is constant."""
-    x_pair = F.when(F.col(y).isNotNull(), F.col(x))
-    y_pair = F.when(F.col(x).isNotNull(), F.col(y))
-    return ratio(F.covar_pop(x, y), F.stddev_pop(x_pair) * F.stddev_pop(y_pair))
+    return F.expr(
+        f"try_divide(covar_pop({x}, {y}), "
+        f"stddev_pop(if({y} IS NULL, NULL, {x})) * stddev_pop(if({x} IS NULL, NULL, {y})))"
+    )
 
 
 def as_date(value: str | date) -> Column:

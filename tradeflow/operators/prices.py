@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions import month_index, month_start, pearson, until, year_month_between
@@ -47,7 +47,10 @@ def tidy_prices(
 
 
 def crack_spread(
-    prices: DataFrame, crude: str = CRUDE, product: str = PRODUCT, per_barrel: float = GALLONS_PER_BARREL
+    prices: DataFrame,
+    crude: str = CRUDE,
+    product: str = PRODUCT,
+    per_barrel: float = GALLONS_PER_BARREL,
 ) -> DataFrame:
     """Product price per barrel and its margin over crude."""
     product_bbl = F.col(product) * per_barrel
@@ -97,12 +100,13 @@ def price_flow(
     )
 
 
-def _earlier(column: str, k: int, keys: Sequence[str], calendar: bool) -> Column:
+def _earlier(column: str, k: int, keys: Sequence[str], calendar: bool) -> str:
     """Value k rows earlier, or exactly k months earlier when calendar (NULL if that month is absent)."""
+    by = f"PARTITION BY {', '.join(keys)} " if keys else ""
     if calendar:
-        span = Window.partitionBy(*keys).orderBy("_month").rangeBetween(-k, -k)
-        return F.max(column).over(span)
-    return F.lag(column, k).over(Window.partitionBy(*keys).orderBy("_month"))
+        exact = f"RANGE BETWEEN {k} PRECEDING AND {k} PRECEDING" if k else "RANGE BETWEEN CURRENT ROW AND CURRENT ROW"
+        return f"max({column}) OVER ({by}ORDER BY _month {exact})"
+    return f"lag({column}, {k}) OVER ({by}ORDER BY _month)"
 
 
 def lag_correlation(
@@ -124,21 +128,18 @@ def lag_correlation(
         *keys, month_index().alias("_month"), F.col(volume).alias("x"), F.col(price).alias("y")
     )
     if changes:
-        series = series.select(
-            *keys,
-            "_month",
-            (F.col("x") - _earlier("x", 1, keys, calendar)).alias("x"),
-            (F.col("y") - _earlier("y", 1, keys, calendar)).alias("y"),
+        series = series.selectExpr(
+            *keys, "_month", *[f"{c} - {_earlier(c, 1, keys, calendar)} AS {c}" for c in "xy"]
         )
     lags = range(max_lag + 1)
-    lagged = series.select(
-        *keys, "x", *[_earlier("y", k, keys, calendar).alias(f"y{k}") for k in lags]
+    lagged = series.selectExpr(
+        *keys, "x", *[f"{_earlier('y', k, keys, calendar)} AS y{k}" for k in lags]
     )
     per_lag = F.array(
         *[
             F.struct(
                 pearson("x", f"y{k}").alias("r"),
-                F.count_if(F.col("x").isNotNull() & F.col(f"y{k}").isNotNull()).alias("n"),
+                F.expr(f"count_if(x IS NOT NULL AND y{k} IS NOT NULL) AS n"),
             )
             for k in lags
         ]

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every column costs more than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

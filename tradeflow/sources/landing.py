@@ -30,7 +30,8 @@ def envelope_schema(layout: str) -> T.StructType:
     """Schema to read with; the partitioned layout takes its keys from the folder names."""
     if layout == "named":
         return FLOW_ENVELOPE
-    return T.StructType(FLOW_ENVELOPE.fields).add("iso3", STRING).add("year", INT)
+    keys = [T.StructField("iso3", STRING), T.StructField("year", INT)]
+    return T.StructType([*FLOW_ENVELOPE.fields, *keys])
 
 
 def path_keys(path: Column, layout: str) -> list[Column]:

@@ -32,10 +32,6 @@ LAST_FIRST_BATCH_YEAR = 1998
 LINE = ("refYear", "refMonth", "reporterCode", "partnerCode", "l_returnflag", "l_linestatus")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
-
-
 def _code(column: str):
     # 0 stands for World, so codes start at 1.
     return (F.col(column) + 1).cast("int")
@@ -55,13 +51,16 @@ class Fixture:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     @cached_property
     def store(self) -> Store:
         return Store(self.spark)
 
     def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # -- raw lines ---------------------------------------------------------------------
 
@@ -214,17 +213,24 @@ class Fixture:
 
     # -- prices ------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def price_points(self) -> DataFrame:
+        """Monthly means as (series, period, value), stored as a landed price series would be."""
+
         def monthly(source: DataFrame, series: str, day: str, value) -> DataFrame:
-            return source.groupBy(F.date_format(day, "yyyy-MM").alias("period")).agg(
-                F.round(F.avg(value) / 1000, 6).alias("value")
-            ).select(F.lit(series).alias("series"), "period", "value")
+            mean = source.groupBy(F.year(day).alias("y"), F.month(day).alias("m")).agg(
+                F.avg(value).alias("mean")
+            )
+            return mean.select(
+                F.lit(series).alias("series"),
+                F.format_string("%04d-%02d", "y", "m").alias("period"),
+                F.round(F.col("mean") / 1000, 6).alias("value"),
+            )
 
         crude = monthly(self.table("orders"), CRUDE, "o_orderdate", F.col("o_totalprice"))
         unit_price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
         product = monthly(self.table("lineitem"), PRODUCT, "l_shipdate", unit_price)
-        return crude.unionByName(product)
+        return self.store.put("price_points", crude.unionByName(product))
 
     @cached_property
     def prices(self) -> DataFrame:
