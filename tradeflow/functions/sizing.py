@@ -14,8 +14,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     """Hint a broadcast if df has at most max_rows rows, otherwise leave the join to Spark.
 
     For sides whose size Spark cannot know when it plans, such as a DISTINCT over a fact
-    table. The count stops at max_rows + 1. Beyond the bound the same join runs as a
-    shuffle join, where adaptive execution splits hot keys.
+    table. Beyond the bound the same join runs as a shuffle join, where adaptive execution
+    splits hot keys. Pass a stored table instead to save the count.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    return F.broadcast(df) if df.count() <= max_rows else df

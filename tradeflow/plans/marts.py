@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions import month_start, until
+from tradeflow.operators.quality import enforce, orphan_dates
 from tradeflow.operators.zone import zone_flag
 from tradeflow.sources.fixed_values import END_PERIOD
 from tradeflow.sources.tables import write_csv
@@ -44,6 +45,34 @@ def tonne_miles_mart(monthly: DataFrame, end_date: str | date | None = None) ->
     return until(monthly, end_date).withColumnRenamed("date", "Date")
 
 
+def star_schema(
+    flows: DataFrame,
+    price_flow: DataFrame,
+    shares: DataFrame,
+    tonne_miles: DataFrame,
+    distances: DataFrame,
+    calendar: DataFrame,
+    zone: DataFrame | None = None,
+    end_date: str | date | None = END_DATE,
+) -> dict[str, DataFrame]:
+    """All reporting tables by name, every fact cut at end_date."""
+    return {
+        "flows": flows_mart(flows, zone, end_date),
+        "date_dim": calendar,
+        "price_flow_monthly": price_flow_mart(until(price_flow, end_date)),
+        "distances": distances,
+        "market_shares": market_shares_mart(shares, end_date),
+        "tonne_miles": tonne_miles_mart(tonne_miles, end_date),
+    }
+
+
+def check_dates(marts: dict[str, DataFrame], dimension: str = "date_dim") -> None:
+    """Fail if a fact holds a date that the date dimension lacks."""
+    for name, mart in marts.items():
+        if name != dimension and "Date" in mart.columns:
+            enforce(orphan_dates(mart, marts[dimension]), f"dates of {name}")
+
+
 def export(marts: dict[str, DataFrame], folder: str) -> None:
     """Write each mart as CSV with a header under folder/name."""
     for name, mart in marts.items():

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tradeflow.sources.tables import read_parquet, write_parquet
 
@@ -36,12 +37,21 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = root or f"{shared_folder(spark)}/tradeflow-{uuid.uuid4().hex}"
+        self._root = root
+
+    @property
+    def root(self) -> str:
+        if self._root is None:
+            self._root = f"{shared_folder(self.spark)}/tradeflow-{uuid.uuid4().hex}"
+        return self._root
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def get(self, name: str, schema: T.StructType) -> DataFrame:
+        return read_parquet(self.spark, self.path(name), schema).select(schema.fieldNames())
+
     def put(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write df and return the written table, with the columns and types of df."""
         write_parquet(df, self.path(name), partition_by)
-        return read_parquet(self.spark, self.path(name), df.schema).select(df.columns)
+        return self.get(name, df.schema)

@@ -6,8 +6,8 @@ shipped between them in a month. Nothing is generated: every row derives from th
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import cached_property
+import threading
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,16 +51,28 @@ class Fixture:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.store = Store(spark)
         self._tables: dict[str, DataFrame] = {}
-
-    @cached_property
-    def store(self) -> Store:
-        return Store(self.spark)
+        self._lock = threading.RLock()
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
-        return self._tables[name]
+        """One of the driver's tables."""
+        return self._once(
+            name, lambda: read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        )
+
+    def stored(
+        self, name: str, build_df: Callable[[], DataFrame], partition_by: Sequence[str] = ()
+    ) -> DataFrame:
+        return self._once(
+            f"stored {name}", lambda: self.store.put(name, build_df(), partition_by)
+        )
+
+    def _once(self, key: str, make: Callable[[], DataFrame]) -> DataFrame:
+        with self._lock:
+            if key not in self._tables:
+                self._tables[key] = make()
+            return self._tables[key]
 
     # -- raw lines ---------------------------------------------------------------------
 
@@ -134,13 +146,13 @@ class Fixture:
             *[columns.get(c, F.col(c)).alias(c) for c in RAW_RECORD.fieldNames()]
         )
 
-    @cached_property
+    @property
     def raw(self) -> DataFrame:
-        return self.store.put("raw", self.raw_lines(), ["refYear"])
+        return self.stored("raw", self.raw_lines, ["refYear"])
 
-    @cached_property
+    @property
     def raw_by_type(self) -> DataFrame:
-        return self.store.put("raw_by_type", self.raw_lines(by_type=True), ["refYear"])
+        return self.stored("raw_by_type", lambda: self.raw_lines(by_type=True), ["refYear"])
 
     # -- dimensions --------------------------------------------------------------------
 
@@ -188,20 +200,24 @@ class Fixture:
     def named_by_type(self) -> DataFrame:
         return build.named_detail(self.raw_by_type, self.partners, self.reporters, COMMODITY)
 
-    @cached_property
+    @property
     def flows(self) -> DataFrame:
-        dense = build.flows(self.raw, self.partners, self.reporters)
-        return self.store.put("flows", dense, ["refYear"])
+        return self.stored(
+            "flows", lambda: build.flows(self.raw, self.partners, self.reporters), ["refYear"]
+        )
 
-    @cached_property
+    @property
     def flows_by_type(self) -> DataFrame:
-        dense = build.flows(self.raw_by_type, self.partners, self.reporters, COMMODITY)
-        return self.store.put("flows_by_type", dense, ["refYear"])
+        return self.stored(
+            "flows_by_type",
+            lambda: build.flows(self.raw_by_type, self.partners, self.reporters, COMMODITY),
+            ["refYear"],
+        )
 
-    @cached_property
+    @property
     def zone(self) -> DataFrame:
         """Reporters present in flows, stored beside them so that their size is known."""
-        return self.store.put("zone", zone.zone_of(self.flows))
+        return self.stored("zone", lambda: zone.zone_of(self.flows))
 
     @property
     def extra(self) -> DataFrame:
@@ -213,9 +229,8 @@ class Fixture:
 
     # -- prices ------------------------------------------------------------------------
 
-    @cached_property
-    def price_points(self) -> DataFrame:
-        """Monthly means as (series, period, value), stored as a landed price series would be."""
+    def monthly_prices(self) -> DataFrame:
+        """Monthly means as (series, period, value)."""
 
         def monthly(source: DataFrame, series: str, day: str, value) -> DataFrame:
             mean = source.groupBy(F.year(day).alias("y"), F.month(day).alias("m")).agg(
@@ -230,12 +245,19 @@ class Fixture:
         crude = monthly(self.table("orders"), CRUDE, "o_orderdate", F.col("o_totalprice"))
         unit_price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
         product = monthly(self.table("lineitem"), PRODUCT, "l_shipdate", unit_price)
-        return self.store.put("price_points", crude.unionByName(product))
+        return crude.unionByName(product)
+
+    @property
+    def price_points(self) -> DataFrame:
+        """Stored like a landed price series, so that bounds on the period text filter points."""
+        return self.stored("price_points", self.monthly_prices)
 
-    @cached_property
+    @property
     def prices(self) -> DataFrame:
         start, end = FULL_PERIOD
-        return self.store.put("prices", prices.tidy_prices(self.price_points, start=start, end=end))
+        return self.stored(
+            "prices", lambda: prices.tidy_prices(self.price_points, start=start, end=end)
+        )
 
     @property
     def spread(self) -> DataFrame:
@@ -258,10 +280,17 @@ class Fixture:
             .select("iso3", "year", F.size("data").alias("count"), "data")
         )
 
-    @cached_property
+    @property
     def landing(self) -> str:
+        """Folder of the landed envelopes."""
         path = self.store.path("landing")
-        self.envelopes().write.partitionBy("iso3", "year").json(path)
+
+        def land() -> DataFrame:
+            files = self.envelopes()
+            files.write.mode("overwrite").partitionBy("iso3", "year").json(path)
+            return files
+
+        self._once("landing", land)
         return path
 
 
@@ -270,7 +299,6 @@ _fixtures: dict[tuple[str, str], Fixture] = {}
 
 def fixture(spark: SparkSession, sf_dir: str) -> Fixture:
     """The fixture of a session and data directory; its tables are written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _fixtures:
-        _fixtures[key] = Fixture(spark, sf_dir)
-    return _fixtures[key]
+    return _fixtures.setdefault(
+        (spark.sparkContext.applicationId, sf_dir), Fixture(spark, sf_dir)
+    )
