@@ -92,3 +92,22 @@ def test_build_refuses_another_commodity(spark, inputs):
     land("FRA", 2023, line(2023, 1, 251, RUSSIA, 1.0, cmdCode="270900"))
     with pytest.raises(DataQualityError, match="constant columns.*270900"):
         build(spark, root)
+
+
+def test_two_commodities_at_once(spark, inputs, rows):
+    root, land = inputs
+    land(
+        "FRA", 2023,
+        line(2023, 2, 251, RUSSIA, 3_000.0, cmdCode="270900"), line(2023, 2, 251, INDIA, 1_000.0, cmdCode="270900"),
+    )
+    store = Store(spark, str(root / "store"))
+    paths = ["--landing", str(root / "landing"), "--partners", str(root / "partners.json"), "--prices", str(root / "prices")]
+    study.main(["build", *paths, "--store", store.root, "--keys", "cmdCode"])
+    shares = study.results(spark, store, ["cmdCode"])["market_shares"]
+    assert rows(shares.filter("refYear = 2023"), "cmdCode", "origin", "share_pct") == [
+        ("270900", "India", 25.0), ("270900", "Russian Federation", 75.0),
+        ("271019", "India", 100.0), ("271019", "Russian Federation", 0.0),
+    ]
+    study.main(["export", "--store", store.root, "--out", str(root / "out"), "--keys", "cmdCode"])
+    header = next((root / "out" / "marts" / "flows").glob("*.csv")).read_text().splitlines()[0]
+    assert header.startswith("cmdCode,refYear,") and header.endswith(",Date")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tradeflow.functions import month_start, until
 from tradeflow.operators.quality import enforce, orphan_dates
@@ -23,18 +23,18 @@ FLOW_COLUMNS = (
 
 
 def flows_mart(
-    flows: DataFrame, zone: DataFrame | None = None, end_date: str | date | None = END_DATE
+    flows: DataFrame,
+    zone: DataFrame | None = None,
+    end_date: str | date | None = END_DATE,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Flows with isExtraZone and Date. The zone is read off all flows, not just those kept."""
     flagged = zone_flag(flows, zone)
-    return until(flagged, end_date).select(*FLOW_COLUMNS, month_start().alias("Date"))
+    return until(flagged, end_date).select(*keys, *FLOW_COLUMNS, month_start().alias("Date"))
 
 
-def price_flow_mart(price_flow: DataFrame) -> DataFrame:
-    return price_flow.select(
-        "refYear", "refMonth", "extra_zone_tonnes", "crack_spread_usd_bbl",
-        F.col("date").alias("Date"),
-    )
+def price_flow_mart(price_flow: DataFrame, end_date: str | date | None = None) -> DataFrame:
+    return until(price_flow, end_date).withColumnRenamed("date", "Date")
 
 
 def market_shares_mart(shares: DataFrame, end_date: str | date | None = None) -> DataFrame:
@@ -54,12 +54,13 @@ def star_schema(
     calendar: DataFrame,
     zone: DataFrame | None = None,
     end_date: str | date | None = END_DATE,
+    keys: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """All reporting tables by name, every fact cut at end_date."""
     return {
-        "flows": flows_mart(flows, zone, end_date),
+        "flows": flows_mart(flows, zone, end_date, keys),
         "date_dim": calendar,
-        "price_flow_monthly": price_flow_mart(until(price_flow, end_date)),
+        "price_flow_monthly": price_flow_mart(price_flow, end_date),
         "distances": distances,
         "market_shares": market_shares_mart(shares, end_date),
         "tonne_miles": tonne_miles_mart(tonne_miles, end_date),

@@ -4,12 +4,14 @@
     spark-submit -m tradeflow.study export --store S --out O
 
 build may be run again after more files have landed: it ingests those alone and rewrites the
-tables derived from them.
+tables derived from them. --keys cmdCode,flowCode runs the same study for every commodity and
+flow direction at once.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -18,13 +20,19 @@ from tradeflow.operators import dims, distance, prices, quality, shares, zone
 from tradeflow.operators.enrich import check_dimensions
 from tradeflow.plans import build, marts
 from tradeflow.plans.store import Store
-from tradeflow.schemas import DOUBLE, FLOWS, INT
+from tradeflow.schemas import DOUBLE, FLOWS, INT, RAW_RECORD
 from tradeflow.sources import landing, reference, tables
-from tradeflow.sources.fixed_values import PRICE_SERIES
+from tradeflow.sources.fixed_values import CONSTANT_CODES, PRICE_SERIES
 from tradeflow.streaming import ingest
 
 START_DATE = f"{prices.START_PERIOD}-01"
 ZONE = T.StructType([T.StructField("reporterCode", INT)])
+
+
+def flows_schema(keys: Sequence[str] = ()) -> T.StructType:
+    return T.StructType([*(RAW_RECORD[k] for k in keys), *FLOWS.fields])
+
+
 PRICES = T.StructType(
     [T.StructField(s, DOUBLE) for s in PRICE_SERIES]
     + [T.StructField(c, INT) for c in ("refYear", "refMonth")]
@@ -32,19 +40,26 @@ PRICES = T.StructType(
 
 
 def build_tables(
-    spark: SparkSession, landing_dir: str, partner_file: str, price_dir: str, store: Store
+    spark: SparkSession,
+    landing_dir: str,
+    partner_file: str,
+    price_dir: str,
+    store: Store,
+    keys: Sequence[str] = (),
 ) -> None:
     """Ingest what is new, check it, and write the tables flows, zone and prices."""
     ingest.ingest_new_files(spark, landing_dir, store.path("raw"), store.path("checkpoint"))
     raw = ingest.read_raw(spark, store.path("raw"))
-    quality.enforce(quality.constant_violations(raw), "constant columns")
+    constant = {name: codes for name, codes in CONSTANT_CODES.items() if name not in keys}
+    if constant:
+        quality.enforce(quality.constant_violations(raw, constant), "constant columns")
 
     partners = store.put(
         "partners", dims.partner_dim(reference.read_partner_areas(spark, partner_file))
     )
     reporters = tables.reporters(spark)
-    check_dimensions(build.detail(raw), partners, reporters)
-    flows = store.put("flows", build.flows(raw, partners, reporters), ["refYear"])
+    check_dimensions(build.detail(raw, keys), partners, reporters)
+    flows = store.put("flows", build.flows(raw, partners, reporters, keys), ["refYear"])
     store.put("zone", zone.zone_of(flows))
 
     tidy = store.put("prices", prices.tidy_prices(reference.read_price_series(spark, price_dir)))
@@ -57,48 +72,54 @@ def missing_files(spark: SparkSession, landing_dir: str, years: range) -> DataFr
     return landing.landing_gaps(grid, landing.landed(spark, landing_dir))
 
 
-def results(spark: SparkSession, store: Store) -> dict[str, DataFrame]:
+def results(
+    spark: SparkSession, store: Store, keys: Sequence[str] = ()
+) -> dict[str, DataFrame]:
     """Every answer of the study, lazily, over the stored tables."""
-    flows, members = store.get("flows", FLOWS), store.get("zone", ZONE)
+    flows, members = store.get("flows", flows_schema(keys)), store.get("zone", ZONE)
     spread = prices.crack_spread(store.get("prices", PRICES))
     distances = tables.distances(spark)
-    extra = zone.extra_zone_countries(flows, members)
-    price_flow = prices.price_flow(extra, spread)
-    levels = prices.lag_correlation(price_flow)
-    market_shares = shares.market_share(extra)
-    miles = distance.tonne_miles(extra, distances)
-    coverage = shares.coverage(extra)
+    declared, extra = zone.countries(flows), zone.extra_zone_countries(flows, members)
+    cut = marts.END_DATE
+    price_flow = prices.price_flow(extra, spread, keys)
+    levels = prices.lag_correlation(price_flow, keys=keys)
+    miles = distance.tonne_miles(extra, distances, keys)
+    coverage = shares.coverage(extra, keys)
+    own_shares = shares.origin_share(extra, keys)
     return {
-        "top_origins_all": shares.top_origins(zone.countries(flows)),
-        "origin_pivot_all": shares.origin_pivot(zone.countries(flows), end_date=marts.END_DATE),
-        "top_origins_extra": shares.top_origins(extra),
-        "origin_pivot_extra": shares.origin_pivot(extra, end_date=marts.END_DATE),
-        "market_shares": market_shares,
-        "transition_speed": shares.transition_speed(shares.origin_share(extra)),
+        "top_origins_all": shares.top_origins(declared, keys=keys),
+        "origin_pivot_all": shares.origin_pivot(declared, keys=keys, end_date=cut),
+        "top_origins_extra": shares.top_origins(extra, keys=keys),
+        "origin_pivot_extra": shares.origin_pivot(extra, keys=keys, end_date=cut),
+        "market_shares": shares.market_share(extra, keys=keys),
+        "transition_speed": shares.transition_speed(own_shares, keys=keys),
         "coverage": coverage,
-        "coverage_covered": shares.coverage_covered(coverage, distances),
-        "confidence_coverage": distance.confidence_coverage(extra, distances),
+        "coverage_covered": shares.coverage_covered(coverage, distances, keys),
+        "confidence_coverage": distance.confidence_coverage(extra, distances, keys),
         "price_flow": price_flow,
         "lag_corr_levels": levels,
-        "lag_corr_changes": prices.lag_correlation(price_flow, changes=True),
-        "best_lag": prices.best_lag(levels),
+        "lag_corr_changes": prices.lag_correlation(price_flow, keys=keys, changes=True),
+        "best_lag": prices.best_lag(levels, keys),
         "tonne_miles": miles,
-        "before_after": distance.before_after(miles),
-        "hub_ratio": zone.hub_ratio(flows, members),
-        "reporters_per_month": quality.reporters_per_month(flows),
+        "before_after": distance.before_after(miles, keys=keys),
+        "hub_ratio": zone.hub_ratio(flows, members, keys),
+        "reporters_per_month": quality.reporters_per_month(flows, keys),
     }
 
 
-def reporting_marts(spark: SparkSession, store: Store) -> dict[str, DataFrame]:
-    found = results(spark, store)
+def reporting_marts(
+    spark: SparkSession, store: Store, keys: Sequence[str] = ()
+) -> dict[str, DataFrame]:
+    found = results(spark, store, keys)
     return marts.star_schema(
-        store.get("flows", FLOWS),
+        store.get("flows", flows_schema(keys)),
         found["price_flow"],
         found["market_shares"],
         found["tonne_miles"],
         tables.distances(spark),
         dims.date_dim(spark, START_DATE, marts.END_DATE),
         store.get("zone", ZONE),
+        keys=keys,
     )
 
 
@@ -111,17 +132,19 @@ def main(argv: list[str] | None = None) -> None:
     export_step = steps.add_parser("export", help="write results and marts as CSV")
     for option in ("store", "out"):
         export_step.add_argument(f"--{option}", required=True)
+    for step in (build_step, export_step):
+        step.add_argument("--keys", type=lambda text: text.split(","), default=[])
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tradeflow").getOrCreate()
     store = Store(spark, args.store)
     if args.step == "build":
-        build_tables(spark, args.landing, args.partners, args.prices, store)
+        build_tables(spark, args.landing, args.partners, args.prices, store, args.keys)
     else:
-        star = reporting_marts(spark, store)
+        star = reporting_marts(spark, store, args.keys)
         marts.check_dates(star)
         marts.export(star, f"{args.out}/marts")
-        marts.export(results(spark, store), f"{args.out}/results")
+        marts.export(results(spark, store, args.keys), f"{args.out}/results")
 
 
 if __name__ == "__main__":
