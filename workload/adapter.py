@@ -230,21 +230,32 @@ class Fixture:
     # -- prices ------------------------------------------------------------------------
 
     def monthly_prices(self) -> DataFrame:
-        """Monthly means as (series, period, value)."""
+        """Monthly means as (series, period, value), to six decimals.
 
-        def monthly(source: DataFrame, series: str, day: str, value) -> DataFrame:
+        Order totals are whole cents, so their mean can lie exactly halfway between two
+        six-decimal values. It is rounded half up in integers, which no engine does differently.
+        """
+
+        def monthly(source: DataFrame, series: str, day: str, value: str) -> DataFrame:
             mean = source.groupBy(F.year(day).alias("y"), F.month(day).alias("m")).agg(
-                F.avg(value).alias("mean")
-            )
-            return mean.select(
-                F.lit(series).alias("series"),
-                F.format_string("%04d-%02d", "y", "m").alias("period"),
-                F.round(F.col("mean") / 1000, 6).alias("value"),
+                F.expr(value).alias("value")
             )
-
-        crude = monthly(self.table("orders"), CRUDE, "o_orderdate", F.col("o_totalprice"))
-        unit_price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
-        product = monthly(self.table("lineitem"), PRODUCT, "l_shipdate", unit_price)
+            period = F.format_string("%04d-%02d", "y", "m")
+            return mean.select(F.lit(series).alias("series"), period.alias("period"), "value")
+
+        cents, n = "sum(cast(round(o_totalprice * 100) AS bigint))", "count(o_totalprice)"
+        crude = monthly(
+            self.table("orders"),
+            CRUDE,
+            "o_orderdate",
+            f"((20 * {cents} + {n}) div (2 * {n})) / 1000000",
+        )
+        product = monthly(
+            self.table("lineitem"),
+            PRODUCT,
+            "l_shipdate",
+            "round(avg(try_divide(l_extendedprice, l_quantity)) / 1000, 6)",
+        )
         return crude.unionByName(product)
 
     @property

@@ -116,7 +116,8 @@ _CHAIN = {
 _PRICES = {
     "points": """
         SELECT 'brent_usd_bbl' AS series, strftime(o_orderdate, '%Y-%m') AS period,
-               round(AVG(o_totalprice) / 1000, 6) AS value
+               CAST((20 * SUM(CAST(round(o_totalprice * 100) AS BIGINT)) + COUNT(o_totalprice))
+                    // (2 * COUNT(o_totalprice)) AS DOUBLE) / 1000000 AS value
         FROM orders GROUP BY ALL
         UNION ALL
         SELECT 'diesel_usd_gal', strftime(l_shipdate, '%Y-%m'),
