@@ -66,6 +66,18 @@ def test_from_landed_files_to_marts(spark, inputs, rows):
     for df in found.values():
         df.collect()
 
+    study.register_views(spark, store)
+    written = spark.sql("""
+        WITH monthly AS (
+          SELECT refYear, refMonth, partnerName AS origin, sum(netWgt) / 1000 AS tonnes FROM flows
+          WHERE is_special_partner = false AND partnerCode NOT IN (SELECT reporterCode FROM zone)
+          GROUP BY 1, 2, 3)
+        SELECT *, try_divide(tonnes, sum(tonnes) OVER (PARTITION BY refYear, refMonth)) * 100 AS share_pct
+        FROM monthly""")
+    assert rows(written) == rows(found["market_shares"], *written.columns)
+    assert spark.table("crack_spread").count() == spark.table("eia_prices").count() == 84
+    assert spark.table("distances").count() == 18
+
     study.main(["export", "--store", store.root, "--out", str(root / "out")])
     names = {p.name for p in (root / "out" / "marts").iterdir()}
     assert names == {"flows", "date_dim", "price_flow_monthly", "distances", "market_shares", "tonne_miles"}

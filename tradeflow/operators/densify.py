@@ -22,12 +22,7 @@ PARTNER_ATTRIBUTES = ("reporterName", "partnerName", "iso2", "iso3", "is_special
 
 def _published(flows: DataFrame, by: Sequence[str]) -> DataFrame:
     """Months each reporter has published, as one array per reporter."""
-    return (
-        flows.select(*by, month_index().alias("month"))
-        .distinct()
-        .groupBy(*by)
-        .agg(F.collect_set("month").alias("published"))
-    )
+    return flows.groupBy(*by).agg(F.collect_set(month_index()).alias("published"))
 
 
 def _lanes(

@@ -72,6 +72,18 @@ def missing_files(spark: SparkSession, landing_dir: str, years: range) -> DataFr
     return landing.landing_gaps(grid, landing.landed(spark, landing_dir))
 
 
+def register_views(spark: SparkSession, store: Store, keys: Sequence[str] = ()) -> None:
+    """The stored tables under the names flows, zone, eia_prices, crack_spread and distances,
+    for queries written in SQL.
+    """
+    store.get("flows", flows_schema(keys)).createOrReplaceTempView("flows")
+    store.get("zone", ZONE).createOrReplaceTempView("zone")
+    tidy = store.get("prices", PRICES)
+    tidy.createOrReplaceTempView("eia_prices")
+    prices.crack_spread_view(tidy)
+    tables.distances(spark).createOrReplaceTempView("distances")
+
+
 def results(
     spark: SparkSession, store: Store, keys: Sequence[str] = ()
 ) -> dict[str, DataFrame]:

@@ -16,6 +16,7 @@ from tradeflow.operators import dims, prices, zone
 from tradeflow.plans import build
 from tradeflow.plans.store import Store
 from tradeflow.schemas import RAW_RECORD
+from tradeflow.sources import landing
 from tradeflow.sources.fixed_values import CRUDE, PRODUCT
 from tradeflow.sources.tables import read_parquet
 
@@ -304,6 +305,16 @@ class Fixture:
         self._once("landing", land)
         return path
 
+    @property
+    def landed_envelopes(self) -> DataFrame:
+        """The landed envelopes, their folder listed once."""
+        return self._once(
+            "landed envelopes",
+            lambda: landing.read_envelopes(
+                self.spark, self.landing, "partitioned", multi_line=False
+            ),
+        )
+
 
 _fixtures: dict[tuple[str, str], Fixture] = {}
 

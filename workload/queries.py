@@ -70,7 +70,7 @@ def query(build_df: Callable[[Fixture], DataFrame]) -> Callable[[Fixture], DataF
 
 
 def _envelopes(fx: Fixture) -> DataFrame:
-    return landing.read_envelopes(fx.spark, fx.landing, "partitioned", multi_line=False)
+    return fx.landed_envelopes
 
 
 def _grid(fx: Fixture) -> DataFrame:
