@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradeflow.functions import checked_broadcast
-from tradeflow.operators import shares, zone
+from tradeflow.operators import distance, prices, shares, zone
 
 
 def test_unknown_partner_is_neither_in_nor_out(flows, rows):
@@ -130,3 +130,18 @@ def test_keys_keep_commodities_apart(flows, rows):
     assert rows(shares.coverage(df, keys), "cmdCode", "partnerName", "cumulative_pct") == [
         ("a", "P7", 100.0), ("a", "P8", 75.0), ("b", "P9", 100.0),
     ]
+
+
+def test_a_rollup_stands_in_for_flows(spark, flows, rows):
+    df = flows(*[(2020, m, r, p, float(m * r * p % 7)) for m in (1, 2, 3) for r in (1, 2) for p in (7, 8, 9)])
+    rollup = shares.origin_month(df)
+    known = spark.createDataFrame([("P7", 10, "a"), ("P8", 30, "b")], "partnerName string, nm_to_rotterdam int, confidence string")
+    for analysis in (
+        lambda d: shares.market_share(d, 2),
+        lambda d: shares.origin_pivot(d, 2),
+        shares.coverage,
+        lambda d: distance.tonne_miles(d, known),
+        lambda d: distance.confidence_coverage(d, known),
+        prices.monthly_volume,
+    ):
+        assert rows(analysis(rollup)) == rows(analysis(df))

@@ -29,10 +29,17 @@ START_DATE = f"{prices.START_PERIOD}-01"
 ZONE = T.StructType([T.StructField("reporterCode", INT)])
 
 
+ORIGIN_MONTH = ("refYear", "refMonth", "partnerName", "netWgt")
+
+
 def flows_schema(keys: Sequence[str] = ()) -> T.StructType:
     return T.StructType([*(RAW_RECORD[k] for k in keys), *FLOWS.fields])
 
 
+def rollup_schema(keys: Sequence[str] = ()) -> T.StructType:
+    return T.StructType([*(RAW_RECORD[k] for k in keys), *(FLOWS[c] for c in ORIGIN_MONTH)])
+
+
 PRICES = T.StructType(
     [T.StructField(s, DOUBLE) for s in PRICE_SERIES]
     + [T.StructField(c, INT) for c in ("refYear", "refMonth")]
@@ -47,7 +54,9 @@ def build_tables(
     store: Store,
     keys: Sequence[str] = (),
 ) -> None:
-    """Ingest what is new, check it, and write the tables flows, zone and prices."""
+    """Ingest what is new, check it, and write the tables flows, zone, prices and the rollup
+    extra_zone_monthly, which most analyses read in place of the flows.
+    """
     ingest.ingest_new_files(spark, landing_dir, store.path("raw"), store.path("checkpoint"))
     raw = ingest.read_raw(spark, store.path("raw"))
     constant = {name: codes for name, codes in CONSTANT_CODES.items() if name not in keys}
@@ -60,7 +69,9 @@ def build_tables(
     reporters = tables.reporters(spark)
     check_dimensions(build.detail(raw, keys), partners, reporters)
     flows = store.put("flows", build.flows(raw, partners, reporters, keys), ["refYear"])
-    store.put("zone", zone.zone_of(flows))
+    members = store.put("zone", zone.zone_of(flows))
+    rollup = shares.origin_month(zone.extra_zone_countries(flows, members), keys)
+    store.put("extra_zone_monthly", rollup, ["refYear"])
 
     tidy = store.put("prices", prices.tidy_prices(reference.read_price_series(spark, price_dir)))
     quality.enforce(quality.missing_prices(tidy, PRICE_SERIES), "missing prices")
@@ -87,11 +98,16 @@ def register_views(spark: SparkSession, store: Store, keys: Sequence[str] = ())
 def results(
     spark: SparkSession, store: Store, keys: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
-    """Every answer of the study, lazily, over the stored tables."""
+    """Every answer of the study, lazily, over the stored tables.
+
+    The rollup stands in for the extra-zone flows: the operators sum weights, and sums of its
+    sums are the same. It has a row per origin and month where the flows have one per reporter.
+    """
     flows, members = store.get("flows", flows_schema(keys)), store.get("zone", ZONE)
+    extra = store.get("extra_zone_monthly", rollup_schema(keys))
     spread = prices.crack_spread(store.get("prices", PRICES))
     distances = tables.distances(spark)
-    declared, extra = zone.countries(flows), zone.extra_zone_countries(flows, members)
+    declared = zone.countries(flows)
     cut = marts.END_DATE
     price_flow = prices.price_flow(extra, spread, keys)
     levels = prices.lag_correlation(price_flow, keys=keys)

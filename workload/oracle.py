@@ -384,6 +384,8 @@ STATEMENTS: dict[str, str] = {
                SUM("netWgt") / 1000 AS tonnes
         FROM flows WHERE is_special_partner = false GROUP BY 1, 2, 3""",
     "origin_monthly_extra": 'SELECT "refYear", "refMonth", origin, tonnes FROM monthly',
+    "extra_zone_monthly": """
+        SELECT "refYear", "refMonth", "partnerName", SUM("netWgt") AS "netWgt" FROM extra GROUP BY 1, 2, 3""",
     "origin_pivot": f"""
         SELECT {DATE} AS date, """
     + ", ".join(

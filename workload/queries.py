@@ -295,6 +295,11 @@ def origin_monthly_extra(fx: Fixture) -> DataFrame:
     return shares.origin_monthly(fx.extra)
 
 
+@query
+def extra_zone_monthly(fx: Fixture) -> DataFrame:
+    return shares.origin_month(fx.extra)
+
+
 @query
 def origin_pivot(fx: Fixture) -> DataFrame:
     return shares.origin_pivot(fx.extra, end_date=END_DATE)
