@@ -113,3 +113,16 @@ def test_completeness(spark, rows):
 def test_reporters_per_month(flows, rows):
     df = flows((2020, 1, 1, 9, 1.0), (2020, 1, 1, 8, 1.0), (2020, 1, 2, 9, 0.0), (2020, 2, 2, 9, 1.0))
     assert rows(quality.reporters_per_month(df), "refMonth", "n_reporters") == [(1, 2), (2, 1)]
+
+
+def test_a_year_may_land_in_several_envelopes(spark, rows):
+    lines = [tuple(r) for r in raw(spark, (2019, 1, 56, 9, 4.0), (2019, 2, 56, 9, 4.0), (2019, 2, 56, 0, 10.0)).collect()]
+    grid = landing.expected_grid(
+        spark.createDataFrame([(56, "BEL")], "reporterCode int, reporterName string"), [2019]
+    )
+    whole = spark.createDataFrame([("BEL", 2019, lines)], ENVELOPES)
+    split = spark.createDataFrame([("BEL", 2019, lines[:1]), ("BEL", 2019, []), ("BEL", 2019, lines[1:])], ENVELOPES)
+    report = rows(completeness.completeness(split, grid))
+    assert report == rows(completeness.completeness(whole, grid))
+    assert report[0][3:5] == (3, 2)
+    assert rows(landing.stack_raw(split)) == rows(landing.stack_raw(whole))

@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from workload.queries import QUERIES
 
@@ -54,3 +55,28 @@ def test_scan_reads_only_what_is_used(spark):
 def test_date_cut_prunes_partitions(spark):
     plan = QUERIES["mart_flows"](spark, SMALL)._jdf.queryExecution().toString()
     assert re.search(r"PartitionFilters: \[isnotnull\(refYear#\d+\), \(refYear#\d+ <= 2000\)", plan)
+
+
+def test_hot_join_key_is_split(spark):
+    """One order with a third of the lines: its partition is read in pieces."""
+    lines = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    orders = spark.range(300_000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("r"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = lines.join(orders, "k").groupBy("r").agg(F.count("*").alias("n"), F.max("v").alias("v"))
+        assert sum(r.n for r in joined.collect()) == 300_000
+        assert "skew=true" in physical(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

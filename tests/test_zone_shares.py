@@ -1,3 +1,5 @@
+import random
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -145,3 +147,34 @@ def test_a_rollup_stands_in_for_flows(spark, flows, rows):
         prices.monthly_volume,
     ):
         assert rows(analysis(rollup)) == rows(analysis(df))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shares_against_brute_force_with_a_hot_origin(flows, seed):
+    """A third of all rows come from one origin."""
+    rng = random.Random(seed)
+    facts = [
+        (2020, rng.randrange(1, 5), rng.choice([1, 2, 3]), rng.choice([10] * 4 + list(range(11, 19))),
+         float(rng.randrange(0, 50)))
+        for _ in range(150)
+    ]
+    volume, month_total = Counter(), Counter()
+    for _, m, _, p, w in facts:
+        volume[f"P{p}"] += w
+        month_total[m] += w
+    ranked = sorted(volume, key=lambda name: (-volume[name], name))
+    pooled = Counter()
+    for _, m, _, p, w in facts:
+        pooled[m, f"P{p}" if f"P{p}" in ranked[:4] else "Other"] += w
+
+    df = flows(*facts)
+    got = {(r.refMonth, r.origin): r for r in shares.market_share(df, 4).collect()}
+    assert set(got) == set(pooled)
+    for cell, row in got.items():
+        assert row.tonnes == pytest.approx(pooled[cell] / 1000)
+        assert row.share_pct == pytest.approx(pooled[cell] / month_total[cell[0]] * 100)
+
+    total = sum(volume.values())
+    for row in shares.coverage(df).collect():
+        reached = sum(v for v in volume.values() if v >= volume[row.partnerName])
+        assert row.cumulative_pct == pytest.approx(reached / total * 100)

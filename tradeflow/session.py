@@ -9,8 +9,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Split a hot join partition from the advisory size on; by default only from 256 MB.
+    # Split a hot join partition from the advisory size and three times the median on; by
+    # default only from 256 MB and five times the median, which few partitions never show.
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3.0",
     "spark.ui.enabled": "false",
     # Recording the Python call site of every column costs more than planning the query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -1,10 +1,13 @@
 """Landed JSON declarations: reading, stacking and finding what is missing.
 
-A landing folder holds one envelope {count, data: [...]} per (reporter, year), in one of
+A landing folder holds envelopes {count, data: [...]} of one (reporter, year) each, in one of
 two layouts:
 
-* ``named``        comtrade_{ISO3}_{YYYY}.json
+* ``named``        comtrade_{ISO3}_{YYYY}.json, one envelope per file
 * ``partitioned``  iso3={ISO3}/year={YYYY}/*.json, which lets Spark skip whole folders
+
+An envelope is one JSON value, so one task reads it. In the partitioned layout a large reporter
+lands as many envelopes, one per line, over any number of files; every reader takes them together.
 """
 
 from __future__ import annotations

@@ -278,16 +278,16 @@ class Fixture:
     # -- landing folder ----------------------------------------------------------------
 
     def envelopes(self) -> DataFrame:
-        """One landed envelope per (reporter, year), some of them missing or empty.
+        """Landed envelopes, one per reporter and month; some years are missing, some empty.
 
-        An envelope is bounded: it lists twelve months of one reporter's partner lines.
+        An envelope is bounded: it lists one reporter's partner lines of one month.
         """
         key = F.col("reporterCode") + F.col("refYear")
         record = F.struct(*RAW_RECORD.fieldNames())
         return (
             self.raw.join(self.reporters, "reporterCode")
             .filter(key % 13 != 5)
-            .groupBy(F.col("reporterName").alias("iso3"), F.col("refYear").alias("year"))
+            .groupBy(F.col("reporterName").alias("iso3"), F.col("refYear").alias("year"), "refMonth")
             .agg(F.collect_list(F.when(key % 11 != 0, record)).alias("data"))
             .select("iso3", "year", F.size("data").alias("count"), "data")
         )
