@@ -1,11 +1,15 @@
 """Quality by weak supervision, with DataFrame functions alone.
 
 Every rule votes good (1), bad (-1) or abstains (0) on a document. The votes of all documents are
-counted per vote pattern; there are at most 3 ** len(RULES) patterns, so the counts are small
-whatever the number of documents. On them expectation-maximisation estimates the share of good
-documents and the accuracy of each rule where it votes. The posterior probability of being good then follows
-from the votes: a log-odds sum of rule weights. A document is kept if it reaches KEEP and does
-not fail the two base rules.
+counted per vote pattern; a rule has one vote beside abstaining, so there are at most
+2 ** len(rules()) patterns whatever the number of documents. On these counts
+expectation-maximisation estimates the share of good documents and the accuracy of each rule
+where it votes. The posterior probability of being good is the log-odds sum of the votes; it
+takes the place of passing every rule. A document is kept if it reaches KEEP and does not fail
+the two base rules.
+
+Votes alone cannot tell a rule that nobody joins from a wrong one, so each rule states the bounds
+of its accuracy: a plain fault is seldom wrong, a mild one needs company, support is weak evidence.
 
 Defined results. A null or empty text has no words and fails the base rules. A rule that has nothing
 to measure abstains. Ties (posterior equal to KEEP) are kept. Repeated rows are judged alike. An
@@ -24,8 +28,10 @@ from tradeflow.llm.common import SPACE, WORD, let, quoted, written
 SYMBOLS = r"[^#*$%&|<>]+"  # everything but symbols
 KEEP = 0.5
 ROUNDS = 50
-# Accuracies stay in these bounds: a rule is better than chance, and none is certain.
-LEAST, MOST, FIRST, PRIOR = 0.55, 0.99, 0.8, 10.0
+# Bounds of the accuracy of a rule where it votes, and of the share of good documents.
+PLAIN, MILD, SUPPORT = (0.95, 0.995), (0.6, 0.85), (0.5, 0.6)
+GOOD = (0.5, 0.8)
+PRIOR = 10.0  # documents at the middle of the bounds that each estimate starts from
 
 
 def _count_other(text: Column, pattern: str) -> Column:
@@ -107,89 +113,82 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    return F.when(bad, -1).when(good, 1).otherwise(0)
-
-
-def rules() -> dict[str, Column]:
-    """Vote of each rule, by name."""
+def rules() -> dict[str, tuple[Column, int, tuple[float, float]]]:
+    """By name: when the rule votes, what it votes, and the bounds of its accuracy."""
     n = F.col("n_words")
     share = lambda part, whole: F.try_divide(F.col(part), F.col(whole))
-    length = share("word_chars", "n_words")
+    symbols = share("n_symbols", "n_words")
+    lines = share("n_dup_lines", "n_lines")
+    repeats = share("n_repeat_words", "n_words")
+    capitals, digits = share("n_capitals", "word_chars"), share("n_digits", "word_chars")
+    stops, length = share("n_stops", "n_words"), share("word_chars", "n_words")
     return {
-        "length": _vote(n >= 100, n < 50),
-        "word_length": _vote(length.between(3, 9), (length < 2) | (length > 14)),
-        "symbols": _vote(share("n_symbols", "n_words") < 0.02, share("n_symbols", "n_words") > 0.1),
-        "repeated_lines": _vote(
-            (F.col("n_lines") > 1) & (F.col("n_dup_lines") == 0), share("n_dup_lines", "n_lines") > 0.3
-        ),
-        "repeated_words": _vote(
-            share("n_repeat_words", "n_words") < 0.15, share("n_repeat_words", "n_words") > 0.4
-        ),
-        "capitals": _vote(
-            share("n_capitals", "word_chars") < 0.1, share("n_capitals", "word_chars") > 0.3
-        ),
-        "digits": _vote(
-            share("n_digits", "word_chars") < 0.05, share("n_digits", "word_chars") > 0.2
-        ),
-        "sentences": _vote(
-            share("n_stops", "n_words").between(0.02, 0.34), (n >= 30) & (F.col("n_stops") == 0)
-        ),
+        "symbols": (symbols > 0.3, -1, PLAIN),
+        "some_symbols": (symbols > 0.06, -1, MILD),
+        "repeated_lines": (lines > 0.5, -1, PLAIN),
+        "some_repeated_lines": (lines > 0.3, -1, MILD),
+        "repeated_words": (repeats > 0.45, -1, PLAIN),
+        "some_repeated_words": (repeats > 0.3, -1, MILD),
+        "capitals": (capitals > 0.5, -1, PLAIN),
+        "some_capitals": (capitals > 0.2, -1, MILD),
+        "digits": (digits > 0.4, -1, PLAIN),
+        "word_length": ((length < 2) | (length > 15), -1, PLAIN),
+        "no_sentences": ((n >= 50) & (F.col("n_stops") == 0), -1, MILD),
+        "long_enough": (n >= 100, 1, SUPPORT),
+        "sentences": (stops.between(0.02, 0.34), 1, SUPPORT),
+        "varied": ((n >= 50) & (repeats < 0.15), 1, SUPPORT),
     }
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[tuple[float, float]]]:
-    """Share of good documents, and two accuracies of each rule, from (votes, documents) counts.
+def estimate(
+    patterns: list[tuple[tuple[int, ...], int]], bounds: list[tuple[float, float]]
+) -> tuple[float, list[float]]:
+    """Share of good documents and accuracy of each rule, from (votes, documents) counts.
 
-    A rule that votes is right on a good document with the first accuracy and on a bad one with
-    the second, independently of the other rules given the truth. Each accuracy starts from
-    PRIOR documents at FIRST, which keeps small tables from extremes.
+    Given whether a document is good, a rule that votes is right with its accuracy, whatever the
+    others say. Expected counts of right votes give the next accuracies, held in their bounds.
     """
-    width = len(patterns[0][0]) if patterns else 0
-    good, accuracy = 0.8, [(FIRST, FIRST)] * width
-    for _ in range(ROUNDS if patterns else 0):
-        weights = vote_weights(accuracy)
-        total = mass = 0.0
-        right = [[FIRST * PRIOR, FIRST * PRIOR] for _ in range(width)]
-        voted = [[PRIOR, PRIOR] for _ in range(width)]
+    middle = [(low + high) / 2 for low, high in bounds]
+    good, accuracy = sum(GOOD) / 2, middle
+    for _ in range(ROUNDS):
+        right = [m * PRIOR for m in middle]
+        voted = [PRIOR] * len(bounds)
+        total, mass = PRIOR, PRIOR * sum(GOOD) / 2
         for votes, n in patterns:
-            p = posterior(votes, good, weights)
+            p = posterior(votes, good, accuracy)
             total += n
             mass += n * p
             for r, v in enumerate(votes):
                 if v:
-                    voted[r][0] += n * p
-                    voted[r][1] += n * (1 - p)
-                    right[r][v < 0] += n * (p if v > 0 else 1 - p)
-        good = min(max(mass / total, 0.05), 0.95)
+                    voted[r] += n
+                    right[r] += n * (p if v > 0 else 1 - p)
+        good = min(max(mass / total, GOOD[0]), GOOD[1])
         accuracy = [
-            tuple(min(max(a / b, LEAST), MOST) for a, b in zip(x, y, strict=True))
-            for x, y in zip(right, voted, strict=True)
+            min(max(a / b, low), high)
+            for a, b, (low, high) in zip(right, voted, bounds, strict=True)
         ]
     return good, accuracy
 
 
-def vote_weights(accuracy: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    """Log-odds that a rule's vote for good and its vote for bad add."""
-    return [(math.log(g / (1 - b)), math.log((1 - g) / b)) for g, b in accuracy]
+def log_odds(p: float) -> float:
+    return math.log(p / (1 - p))
 
 
-def posterior(votes: tuple[int, ...], good: float, weights: list[tuple[float, float]]) -> float:
-    odds = math.log(good / (1 - good))
-    odds += sum(w[v < 0] for v, w in zip(votes, weights, strict=True) if v)
+def posterior(votes: tuple[int, ...], good: float, accuracy: list[float]) -> float:
+    odds = log_odds(good) + sum(v * log_odds(a) for v, a in zip(votes, accuracy, strict=True))
     return 1 / (1 + math.exp(-odds))
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """measured() with the votes, the posterior quality and the verdict."""
-    votes = F.array(*[v.cast("int") for v in rules().values()])
+    bounds = [b for _, _, b in rules().values()]
+    votes = F.array(*[F.when(fires, vote).otherwise(0) for fires, vote, _ in rules().values()])
     stats = written(measured(docs, key, text).withColumn("votes", votes), "quality-votes")
-    counts = stats.groupBy("votes").count().collect()  # at most 3 ** len(RULES) rows
-    good, accuracy = estimate(sorted((tuple(r["votes"]), r["count"]) for r in counts))
-    odds = F.lit(math.log(good / (1 - good)))
-    for r, (up, down) in enumerate(vote_weights(accuracy)):
-        vote = F.col("votes")[r]
-        odds = odds + F.when(vote > 0, up).when(vote < 0, down).otherwise(0.0)
+    counts = stats.groupBy("votes").count().collect()  # at most 2 ** len(rules()) rows
+    good, accuracy = estimate(sorted((tuple(r["votes"]), r["count"]) for r in counts), bounds)
+    odds = F.lit(log_odds(good))
+    for r, a in enumerate(accuracy):
+        odds = odds + F.col("votes")[r] * log_odds(a)
     n = F.col("n_words")
     failed = (n < 50) | (100 * F.col("n_repeat_words") > 50 * n)
     return (
