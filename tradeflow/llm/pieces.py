@@ -5,9 +5,10 @@ concatenation is a piece, best score first, leftmost first among equals; the bes
 its new neighbours join the agenda, and entries whose symbols have changed are skipped when they come
 up. What is no piece in the end falls back to its bytes.
 
-Pieces hold a word boundary mark only at their front, so no merge reaches from a character to a
-mark behind it, nor over a character that is part of no longer piece, such as a line end. Texts are cut
-there, and the ids of short segments are kept in a bounded cache in each worker. Each segment that enters
+Where pieces hold a word boundary mark only at their front, no merge reaches from a character to a
+mark behind it; where no piece joins a Latin letter and another character, or holds a line end, none
+crosses those. Texts are cut there as far as the vocabulary at hand allows, and the ids of short
+segments are kept in a bounded cache in each worker. Each segment that enters
 the cache in an Arrow batch, and each long one, is encoded by the sentencepiece library too; should the
 two differ, the library's ids are taken and counted.
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,8 +36,9 @@ from pyspark.sql.functions import pandas_udf
 
 from tradeflow.llm.common import fresh, quoted
 
-# Fixed value: the mark that stands for a space.
+# The mark that stands for a space, Latin letters.
 MARK = "▁"
+LATIN = "A-Za-z\u00c0-\u024f"
 CACHED, SHORT = 600_000, 48  # segments a worker keeps, and the longest that it keeps
 MODEL = "piece_bpe_32k.model"
 
@@ -80,19 +83,57 @@ class Pieces:
                 self.score[piece] = lib.get_score(i)
                 self.surface.append(piece.replace(MARK, " ").encode())
         self.text_of_id = [str(i) for i in range(n)]
-        longer = [p for p in self.id_of if len(p) > 1]
-        if any(MARK in p.lstrip(MARK) for p in longer):
-            cut = r"(?s).+"  # a mark inside a piece: texts cannot be cut
-        elif any("\n" in p for p in longer):
-            cut = f"{MARK}*[^{MARK}]+|{MARK}+"
-        else:
-            cut = f"{MARK}*[^{MARK}\n]+|{MARK}+|\n"
-        self.segments = re.compile(cut).findall
+        self.segments = re.compile(self._cut()).findall
         self.cache: dict[str, tuple[int, ...]] = {}
         self.differing = 0
 
+    def _cut(self) -> str:
+        """Pattern of segments that no piece of the vocabulary reaches out of."""
+        longer = [p for p in self.id_of if len(p) > 1]
+        letter, other = f"[{LATIN}]", f"[^{LATIN}{MARK}\n]"
+        if any(MARK in p.lstrip(MARK) for p in longer):
+            return r"(?s).+"
+        if any("\n" in p for p in longer):
+            return f"{MARK}*[^{MARK}]+|{MARK}+"
+        mixed = re.compile(f"{letter}{other}|{other}{letter}").search
+        if any(mixed(p) for p in longer):
+            return f"{MARK}*[^{MARK}\n]+|{MARK}+|\n"
+        return f"{MARK}*{letter}+|{MARK}*{other}+|{MARK}+|\n"
+
     def agenda(self, segment: str) -> tuple[int, ...]:
         """Ids of a segment by merging its best adjacent pairs."""
+        merged = self._merge_short(segment) if len(segment) <= SHORT else self._merge_long(segment)
+        ids: list[int] = []
+        for symbol in merged:
+            known = self.id_of.get(symbol)
+            if known is not None:
+                ids.append(known)
+            elif self.bytes:
+                ids.extend(self.bytes[b] for b in symbol.encode())
+            else:
+                ids.append(self.unknown)
+        return tuple(ids)
+
+    def _merge_short(self, segment: str) -> list[str]:
+        """Symbols left, with the agenda as a plain list: entry i is the score of symbols i, i + 1."""
+        score, never = self.score.get, -math.inf
+        symbols = list(segment)
+        agenda = [score(a + b, never) for a, b in zip(segment, segment[1:], strict=False)]
+        while agenda:
+            best = max(agenda)
+            if best == never:
+                break
+            i = agenda.index(best)
+            merged = symbols[i] = symbols[i] + symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = score(merged + symbols[i + 1], never)
+            if i:
+                agenda[i - 1] = score(symbols[i - 1] + merged, never)
+        return symbols
+
+    def _merge_long(self, segment: str) -> list[str]:
+        """Symbols left, with the agenda as a heap over linked symbols."""
         score, symbols, n = self.score, list(segment), len(segment)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = []
@@ -117,27 +158,18 @@ class Pieces:
                 more = symbols[prev] + pair
                 if more in score:
                     heapq.heappush(heap, (-score[more], prev, left, more))
-        ids: list[int] = []
-        for symbol in symbols:
-            if symbol is not None:
-                known = self.id_of.get(symbol)
-                if known is not None:
-                    ids.append(known)
-                elif self.bytes:
-                    ids.extend(self.bytes[b] for b in symbol.encode())
-                else:
-                    ids.append(self.unknown)
-        return tuple(ids)
+        return [symbol for symbol in symbols if symbol is not None]
 
     def learn(self, segments: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of segments by the agenda, compared with the library's."""
         found = {s: self.agenda(s) for s in segments}
-        # The library puts a mark in front of any text: leave the own one to it, or cut after a line end.
-        asked = [s[1:] if s[0] == MARK and len(s) > 1 else "\n" + s for s in segments]
+        # The library puts a mark in front of any text: give it the own one, or a line end to stand on.
+        marked = [s[0] == MARK and len(s) > 1 for s in segments]
+        asked = [s[1:] if m else "\n" + s for s, m in zip(segments, marked, strict=True)]
         told = self.library.encode(asked, num_threads=1) if asked else []
-        for s, text, ids in zip(segments, asked, told, strict=True):
-            if text[0] == "\n" and s[0] != MARK or len(s) == 1:
-                ids = ids[2:]  # mark and line end
+        for s, m, ids in zip(segments, marked, told, strict=True):
+            if not m:
+                ids = ids[2:]  # the library's mark and the line end
             if list(found[s]) != ids:
                 self.differing += 1
                 found[s] = tuple(ids)
