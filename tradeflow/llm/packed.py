@@ -26,6 +26,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -189,110 +190,123 @@ def read_file(file) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
 _WIDE = "\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _WHITE = f"\\x09-\\x0d\\x20{_WIDE}"
 _LATIN = "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f"
-_SEGMENTS = re.compile(
+_PARTS = re.compile(
     f"[{_WHITE}]*[{_LATIN}]+(?=[{_WHITE}!-@\\[-`{{-~]|\\Z)|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+"
 ).findall
-_RUNS = re.compile(f"[{_WHITE}] [{_WHITE}]|  |[{_WIDE}]|[{_WHITE}]\\Z").search
+_WIDE_SPACE = re.compile(f"[{_WIDE}]").search
+_INSIDE = ("  ", "\t ", "\n ", "\x0b ", "\x0c ", "\r ")
+
+
+def _spaced(text: str) -> bool:
+    """Whether the text can be cut at its spaces: none stands in a longer run of white space."""
+    return not (
+        text[-1:].isspace()
+        or any(run in text for run in _INSIDE)
+        or not text.isascii()
+        and _WIDE_SPACE(text)
+    )
 
 
 class Vocabulary:
-    """Ids by the tokenizers library, asked once for a word or part of a word that a worker meets.
+    """Ids by the tokenizers library, asked once for a part of a word that a worker meets.
 
     The library's pattern never reaches across the start of a run of white space, nor between a
-    Latin letter and ASCII punctuation or digits behind it, so ids of such segments side by side are those of
-    the whole text. New segments go to the library in one string, with its special token
-    between them. Words of a text are looked up by what stands between spaces.
+    Latin letter and ASCII punctuation or digits behind it, so ids of such parts side by side are
+    those of the whole text. New parts go to the library in one string, with its special token
+    between them. Texts are looked up by the words between their spaces. Ids of all words and parts
+    lie in one table; a word or part is a place in it.
     """
 
-    CACHED, LONGEST = 1_000_000, 64
+    CACHED, LONGEST, MOST_IDS = 1_200_000, 64, 24_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         special = [t for t in self.library.get_added_tokens_decoder().values() if t.special]
-        self.between = special[0].content if special else None
-        self.between_id = self.library.token_to_id(self.between) if special else -1
+        if not special:
+            raise ValueError("the vocabulary needs a special token to put between parts")
+        self.between = special[0].content
+        self.between_id = self.library.token_to_id(self.between)
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}  # what follows a space, to its place in the tables
-        self.parts: dict[str, np.ndarray] = {}
+        self.words: dict[str, int] = {}  # what follows a space
+        self.parts: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.length = np.zeros(1 << 14, dtype=np.int64)
-        self.n_flat = self.n_codes = 0
+        self.n_flat = self.n_places = 0
+        self.end = self._append(np.array([END_ID], np.uint32), np.array([1]))[0]
+
+    def _append(self, ids: np.ndarray, lengths: np.ndarray) -> range:
+        """Places of new entries whose ids lie in a row."""
+        while self.n_flat + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n_places + len(lengths) > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        places = slice(self.n_places, self.n_places + len(lengths))
+        self.flat[self.n_flat : self.n_flat + len(ids)] = ids
+        self.start[places] = self.n_flat + np.cumsum(lengths) - lengths
+        self.length[places] = lengths
+        self.n_flat += len(ids)
+        self.n_places += len(lengths)
+        return range(places.start, places.stop)
 
-    def ask(self, segments: list[str]) -> list[np.ndarray]:
-        plain = [s for s in segments if self.between and self.between not in s]
-        told: dict[str, np.ndarray] = {}
-        for lo in range(0, len(plain), 5000):
-            some = plain[lo : lo + 5000]
-            ids = self._encode(self.between.join(some))
-            cuts = np.nonzero(ids == self.between_id)[0]
-            told.update(zip(some, np.split(ids, cuts), strict=True))
-            told.update((s, told[s][1:]) for s in some[1:])
-        return [told[s] if s in told else self._encode(s) for s in segments]
+    def _gather(self, places: list[int], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of places in a row, and how many come from each run of `sizes` places."""
+        at = np.array(places, dtype=np.int64)
+        lengths = self.length[at]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        source = np.arange(ends[-1]) - np.repeat(ends[:-1] - self.start[at], lengths)
+        return self.flat[source], np.diff(ends[np.concatenate([[0], np.cumsum(sizes)])])
 
     def _encode(self, text: str) -> np.ndarray:
         found = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(found.ids, dtype=np.uint32)
 
-    def _learn(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, by its segments."""
-        cut = [_SEGMENTS(t) for t in texts]
-        new = list(dict.fromkeys(s for c in cut for s in c if s not in self.parts))
-        told = dict(zip(new, self.ask(new), strict=True))
-        self.parts.update((s, ids) for s, ids in told.items() if len(s) <= self.LONGEST)
-        find = lambda s: told[s] if s in told else self.parts[s]
-        none = np.empty(0, np.uint32)
-        return [
-            find(c[0]) if len(c) == 1 else np.concatenate([find(s) for s in c]) if c else none
-            for c in cut
-        ]
-
-    def _code(self, ids: np.ndarray) -> int:
-        if self.n_flat + len(ids) > len(self.flat):
-            grown = np.zeros(2 * (len(self.flat) + len(ids)), dtype=np.uint32)
-            grown[: self.n_flat] = self.flat[: self.n_flat]
-            self.flat = grown
-        if self.n_codes == len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.flat[self.n_flat : self.n_flat + len(ids)] = ids
-        self.start[self.n_codes], self.length[self.n_codes] = self.n_flat, len(ids)
-        self.n_flat += len(ids)
-        self.n_codes += 1
-        return self.n_codes - 1
+    def _learn_parts(self, new: list[str]) -> None:
+        for lo in range(0, len(new), 5000):
+            some = [s for s in new[lo : lo + 5000] if self.between not in s]
+            ids = self._encode(self.between.join(some))
+            cuts = np.nonzero(ids == self.between_id)[0]
+            lengths = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            if some:
+                self.parts.update(zip(some, self._append(np.delete(ids, cuts), lengths), strict=True))
+        for s in new:
+            if self.between in s:
+                ids = self._encode(s)
+                self.parts[s] = self._append(ids, np.array([len(ids)]))[0]
+
+    def _learn(self, texts: list[str]) -> range:
+        """Places of texts, made of their parts."""
+        cut = [_PARTS(t) for t in texts]
+        flat = list(chain.from_iterable(cut))
+        self._learn_parts(list(set(flat).difference(self.parts)))
+        places = list(map(self.parts.__getitem__, flat))
+        for s in [s for s in flat if len(s) > self.LONGEST]:
+            self.parts.pop(s, None)
+        return self._append(*self._gather(places, [len(c) for c in cut]))
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Length of each text in ids, the end id included, and all ids in a row."""
-        if len(self.words) + len(self.parts) > 2 * self.CACHED or self.n_flat > 64_000_000:
+        if len(self.words) + len(self.parts) > self.CACHED or self.n_flat > self.MOST_IDS:
             self.clear()
-        words, codes, sizes = self.words, [], []
-        cut = [None if _RUNS(t) else t.split(" ") for t in texts]
-        new = list(dict.fromkeys(w for c in cut if c for w in c[1:] if w not in words))
-        passing = {}
-        for w, ids in zip(new, self._learn([" " + w for w in new]), strict=True):
-            (words if len(w) <= self.LONGEST else passing)[w] = self._code(ids)
-        if passing:
-            words.update(passing)
-        heads = self._learn([c[0] if c else t for t, c in zip(texts, cut, strict=True)])
-        end = self._code(np.array([END_ID], dtype=np.uint32))
-        for c, head in zip(cut, heads, strict=True):
-            own = [self._code(head), *(words[w] for w in c[1:])] if c else [self._code(head)]
-            own.append(end)
-            codes.extend(own)
-            sizes.append(len(own))
-        for w in passing:
+        cut = [t.split(" ") if _spaced(t) else [t] for t in texts]
+        heads = self._learn([c[0] for c in cut])
+        words = self.words
+        new = list(set(chain.from_iterable(c[1:] for c in cut)).difference(words))
+        words.update(zip(new, self._learn([" " + w for w in new]), strict=True))
+        places: list[int] = []
+        for head, c in zip(heads, cut, strict=True):
+            places.append(head)
+            places.extend(map(words.__getitem__, c[1:]))
+            places.append(self.end)
+        for w in [w for w in new if len(w) > self.LONGEST]:
             del words[w]
-        code = np.array(codes, dtype=np.int64)
-        lengths = self.length[code]
-        ends = np.cumsum(lengths)
-        at = np.arange(int(ends[-1])) - np.repeat(ends - lengths - self.start[code], lengths)
-        ids = self.flat[at]
-        last = np.cumsum(sizes) - 1
-        return np.diff(ends[last], prepend=0), ids
+        ids, lengths = self._gather(places, [len(c) + 1 for c in cut])
+        return lengths, ids
 
 
 @lru_cache(maxsize=2)
