@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeflow.llm import lattice, mixing, packed, pieces, quality, secrets, simhash
+from tradeflow.llm import lattice, mixing, packed, pieces, quality, secrets, simhash, substrings
 from tradeflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": lambda spark, d: secrets.secrets(documents(spark, d)),
     "op4_quality_rules": lambda spark, d: quality.quality(documents(spark, d)),
     "op5_sentencepiece": lambda spark, d: pieces.encoded(documents(spark, d)),
+    "op6_substring_dedup": lambda spark, d: substrings.substring_dedup(documents(spark, d)),
     "op7_packed_ids": lambda spark, d: packed.packed(documents(spark, d)),
     "op8_mixing": lambda spark, d: mixing.mixed(documents(spark, d)),
     "op9_simhash": lambda spark, d: simhash.simhash(documents(spark, d)),
