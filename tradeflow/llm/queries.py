@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeflow.llm import interpolated, lattice, mixing, packed, pieces, quality, secrets, simhash, substrings
+from tradeflow.llm import interpolated, lattice, mixing, packed, pieces, quality, secrets, simhash, substrings, toxicity
 from tradeflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": lambda spark, d: toxicity.toxicity(
+        documents(spark, d), documents(spark, d, "labels")
+    ),
     "op2_lm_scoring": lambda spark, d: interpolated.lm_scores(documents(spark, d)),
     "op3_secret_scan": lambda spark, d: secrets.secrets(documents(spark, d)),
     "op4_quality_rules": lambda spark, d: quality.quality(documents(spark, d)),
