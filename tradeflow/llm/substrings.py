@@ -9,8 +9,8 @@ Extension. A run reaches from its first window's first word to its last window's
 both ways as its anchor is the seed. Runs of the same words are one class, known by 128-bit hashes
 of its reach: copies and the inside of shared passages collapse into one class, whose members after
 the first are repeats as a whole. Where an anchor has several classes, which happens at the ends of passages and
-around common phrases, the windows of one representative a class are compared by 128-bit hashes,
-and each takes the smallest document among the classes that hold it. Neighbouring repeated windows,
+around common phrases, the windows of the smallest document of each class are compared by 128-bit
+hashes, and each takes the smallest document among the classes that hold it. Neighbouring repeated windows,
 over all runs, join to maximal repeats of at least WINDOW words.
 
 No pairs of documents are formed. Sums by key combine on the map side, and what a hot anchor, class
@@ -198,18 +198,17 @@ def repeats(docs: DataFrame) -> DataFrame:
     runs = written(runs.join(shared, "anchor"), "shared-runs")
     reach = ["anchor", "r1", "r2", "n"]
     classes = written(
-        runs.groupBy(*reach).agg(
-            F.min(F.struct("key", "th", "start")).alias("first"), F.max("key").alias("last")
-        ),
-        "run-classes",
+        runs.groupBy(*reach).agg(F.min("key").alias("lo"), F.max("key").alias("hi")), "run-classes"
     )
     several = written(
         classes.groupBy("anchor").count().filter("count > 1").select("anchor"), "unlike-anchors"
     )
+    unlike = written(classes.join(several, "anchor").select(*reach, "lo"), "unlike-classes")
     asked = (
-        classes.join(several, "anchor")
-        .groupBy("first.key", "first.th")
-        .agg(F.collect_list(F.struct("first.start", "n")).alias("asked"))
+        runs.join(unlike, reach)
+        .filter("key = lo")  # the document that stands for the class, wherever it holds the run
+        .groupBy("key", "th")
+        .agg(F.collect_list(F.struct("start", "n")).alias("asked"))
     )
     asked = written(asked, "asked-runs")
     windows = written(
@@ -228,7 +227,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     in_firsts = windows.join(least, ["w1", "w2"]).filter("key > lo").select(
         "key", "th", F.col("start").alias("from"), F.col("start").alias("to")
     )
-    copied = classes.filter("last > first.key").select(*reach, F.col("first.key").alias("lo"))
+    copied = classes.filter("lo < hi").select(*reach, "lo")
     in_copies = runs.join(copied, reach).filter("key > lo").select(
         "key", "th", F.col("start").alias("from"), (F.col("start") + F.col("n") - 1).alias("to")
     )
