@@ -246,7 +246,7 @@ def decode(ids: Column, model: str | None = None) -> Column:
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary = pieces(path)
         for rows in batches:
-            yield pd.Series([None if r is None else vocabulary.decode(r.tolist()) for r in rows], dtype=object)
+            yield pd.Series([None if r is None else vocabulary.decode([int(i) for i in r]) for r in rows], dtype=object)
 
     return texts(ids)
 
