@@ -10,6 +10,7 @@ ENVELOPES = T.StructType(
         T.StructField("iso3", T.StringType()),
         T.StructField("year", T.IntegerType()),
         T.StructField("data", T.ArrayType(RAW_RECORD)),
+        T.StructField("unreadable", T.BooleanType()),
     ]
 )
 
@@ -90,16 +91,21 @@ def test_completeness(spark, rows):
         (2019, 2, 56, 9, None, {"motCode": 10, "customsCode": "C01"}),
     ).collect()
     envelopes = spark.createDataFrame(
-        [("BEL", 2019, [tuple(r) for r in lines]), ("AUT", 2019, []), ("ZZZ", 2019, [])], ENVELOPES
+        [
+            ("BEL", 2019, [tuple(r) for r in lines], False), ("AUT", 2019, [], False),
+            ("ZZZ", 2019, [], False), ("AUT", 2020, None, True),
+        ],
+        ENVELOPES,
     )
     reporters = spark.createDataFrame([(40, "AUT"), (56, "BEL")], "reporterCode int, reporterName string")
     report = completeness.completeness(envelopes, landing.expected_grid(reporters, [2019, 2020]))
     assert rows(report) == [
-        ("AUT", 2019, True, 0, 0, "", 0, False, None, 0, 0, "", ""),
-        ("AUT", 2020, False) + (None,) * 10,
-        ("BEL", 2019, True, 3, 2, "2,10", 2, True, 10.0, 1, 1, "0,10", "C00,C01"),
-        ("BEL", 2020, False) + (None,) * 10,
+        ("AUT", 2019, True, False, 0, 0, "", 0, False, None, 0, 0, "", ""),
+        ("AUT", 2020, True, True, 0, 0, "", 0, False, None, 0, 0, "", ""),
+        ("BEL", 2019, True, False, 3, 2, "2,10", 2, True, 10.0, 1, 1, "0,10", "C00,C01"),
+        ("BEL", 2020, False) + (None,) * 11,
     ]
+    assert rows(completeness.unreadable_files(report)) == [("AUT", 2020)]
     assert rows(completeness.empty_files(report)) == [("AUT", 2019)]
     assert rows(completeness.partial_years(report)) == [("BEL", 2019, 2, "2,10")]
     assert rows(completeness.gap_files(report)) == [("BEL", 2019, 10.0)]
@@ -107,7 +113,7 @@ def test_completeness(spark, rows):
     assert rows(completeness.code_lists(report)) == [
         ("customs_codes", ""), ("customs_codes", "C00,C01"), ("mot_codes", ""), ("mot_codes", "0,10"),
     ]
-    assert rows(completeness.file_counts(report)) == [(4, 2)]
+    assert rows(completeness.file_counts(report)) == [(4, 3)]
 
 
 def test_reporters_per_month(flows, rows):
@@ -120,9 +126,9 @@ def test_a_year_may_land_in_several_envelopes(spark, rows):
     grid = landing.expected_grid(
         spark.createDataFrame([(56, "BEL")], "reporterCode int, reporterName string"), [2019]
     )
-    whole = spark.createDataFrame([("BEL", 2019, lines)], ENVELOPES)
-    split = spark.createDataFrame([("BEL", 2019, lines[:1]), ("BEL", 2019, []), ("BEL", 2019, lines[1:])], ENVELOPES)
+    whole = spark.createDataFrame([("BEL", 2019, lines, False)], ENVELOPES)
+    split = spark.createDataFrame([("BEL", 2019, lines[:1], False), ("BEL", 2019, [], False), ("BEL", 2019, lines[1:], False)], ENVELOPES)
     report = rows(completeness.completeness(split, grid))
     assert report == rows(completeness.completeness(whole, grid))
-    assert report[0][3:5] == (3, 2)
+    assert report[0][4:6] == (3, 2)
     assert rows(landing.stack_raw(split)) == rows(landing.stack_raw(whole))

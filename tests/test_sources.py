@@ -1,9 +1,11 @@
 import json
+import os
 from types import SimpleNamespace
 
 import pytest
 
-from tradeflow.operators import dims
+from tradeflow.operators import completeness, dims
+from tradeflow.operators.quality import DataQualityError
 from tradeflow.plans.store import Store, shared_folder
 from tradeflow.schemas import RAW_RECORD
 from tradeflow.sources import landing, reference, tables
@@ -54,18 +56,83 @@ def test_landing_gaps(spark, folder, rows):
     assert rows(landing.landing_gaps(grid, present)) == [(40, "AUT", 2021), (56, "BEL", 2021)]
 
 
-def test_incremental_ingest_takes_each_file_once(spark, folder, tmp_path, rows):
-    table, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+@pytest.fixture
+def ingested(spark, folder, tmp_path, rows):
+    table, manifest = str(tmp_path / "raw"), str(tmp_path / "manifest")
+
+    def run(layout="named", multi_line=True):
+        ingest.ingest_new_files(spark, str(folder), table, manifest, layout, multi_line)
+        return rows(ingest.read_raw(spark, table, manifest), "refYear", "refMonth", "netWgt")
+
+    return run
 
-    def run():
-        ingest.ingest_new_files(spark, str(folder), table, checkpoint, files_per_batch=1)
-        return rows(ingest.read_raw(spark, table), "refYear", "refMonth", "netWgt")
 
-    first = [(2020, 1, 2.5), (2020, 2, None)]
-    assert run() == first
-    assert run() == first
+FIRST = [(2020, 1, 2.5), (2020, 2, None)]
+
+
+def test_ingest_takes_each_file_once(ingested, folder):
+    assert ingested() == FIRST
+    assert ingested() == FIRST
     land(folder, "BEL", 2021, {"refMonth": 7})
-    assert run() == [*first, (2021, 7, 2.5)]
+    assert ingested() == [*FIRST, (2021, 7, 2.5)]
+
+
+def test_ingest_sees_replaced_emptied_and_deleted_files(ingested, folder):
+    ingested()
+    land(folder, "AUT", 2020, {"refMonth": 9})  # was empty, landed again under its name
+    assert ingested() == [*FIRST, (2020, 9, 2.5)]
+    land(folder, "BEL", 2020, {"netWgt": 4.25})  # corrected
+    assert ingested() == [(2020, 1, 4.25), (2020, 9, 2.5)]
+    land(folder, "AUT", 2020)
+    assert ingested() == [(2020, 1, 4.25)]
+    (folder / "comtrade_BEL_2020.json").unlink()
+    assert ingested() == []
+
+
+def test_ingest_takes_late_files_with_old_times(ingested, folder):
+    ingested()
+    land(folder, "FRA", 2021, {"refMonth": 3})
+    old = os.stat(folder / "comtrade_FRA_2021.json").st_mtime - 30 * 86_400
+    os.utime(folder / "comtrade_FRA_2021.json", (old, old))
+    assert ingested() == [*FIRST, (2021, 3, 2.5)]
+
+
+def test_killed_ingest_is_repeated_as_a_whole(spark, ingested, folder, monkeypatch):
+    ingested()
+    land(folder, "FRA", 2021, {"refMonth": 3})
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "MANIFEST", None)  # lines are written, the manifest is not
+        with pytest.raises(Exception):  # noqa: B017, PT011
+            ingested()
+    assert ingested() == [*FIRST, (2021, 3, 2.5)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"count": 1, "data": [{"refYear": 2021, "ref', '{"data": [{"refYear": 2021, "netWgt": "7.0"}]}',
+     '{"data": [{"refYear": 2021, "refMonth": 2.5}]}'],
+)
+def test_unreadable_files_are_refused(spark, ingested, folder, rows, text):
+    ingested()
+    (folder / "comtrade_NLD_2021.json").write_text(text)
+    with pytest.raises(DataQualityError, match="unreadable files.*NLD"):
+        ingested()
+    reporters = tables.reporters(spark).filter("reporterName IN ('AUT', 'NLD')")
+    envelopes = landing.read_envelopes(spark, str(folder))
+    report = completeness.completeness(envelopes, landing.expected_grid(reporters, [2020, 2021]))
+    assert rows(completeness.unreadable_files(report)) == [("NLD", 2021)]
+    assert rows(completeness.empty_files(report)) == [("AUT", 2020)]
+    land(folder, "NLD", 2021, {"refMonth": 5})
+    assert ingested() == [*FIRST, (2021, 5, 2.5)]
+
+
+def test_odd_file_names_are_reported(spark, ingested, folder, rows):
+    (folder / "comtrade_deu_2020.json").write_text('{"data": []}')
+    found = landing.odd_files(landing.landed_files(spark, str(folder)))
+    assert [name.rsplit("/", 1)[1] for name, _ in rows(found)] == ["comtrade_deu_2020.json"]
+    assert ("BEL", 2020) in rows(landing.landed(spark, str(folder)))
+    with pytest.raises(DataQualityError, match="odd files"):
+        ingested()
 
 
 def test_partner_list(spark, tmp_path, rows):

@@ -92,6 +92,59 @@ def test_from_landed_files_to_marts(spark, inputs, rows):
     assert gaps.count() == 30 * 3 - 4
 
 
+def read_csv(folder):
+    return [row.split(",") for part in sorted(folder.glob("*.csv")) for row in part.read_text().splitlines()[1:]]
+
+
+def test_checks_and_order_of_exports(spark, inputs):
+    root, land = inputs
+    land("AUT", 2022)
+    store = build(spark, root)
+    study.main(["check", "--landing", str(root / "landing"), "--store", store.root, "--out", str(root / "out")])
+    folder = root / "out" / "checks"
+    assert read_csv(folder / "empty_files") == [["AUT", "2022"]]
+    report = read_csv(folder / "completeness")
+    assert len(report) == 240 and [r[:2] for r in report] == sorted(r[:2] for r in report)
+    assert len(read_csv(folder / "missing_files")) == 240 - 4
+    assert read_csv(folder / "unreadable_files") == []
+    assert read_csv(folder / "world_reconciliation") == [["1", "0.0", "0"]]
+    assert read_csv(folder / "zero_fill")[0][:1] == ["6"]
+    study.main(["export", "--store", store.root, "--out", str(root / "out")])
+    months = [tuple(map(int, r[:2])) for r in read_csv(root / "out" / "marts" / "flows")]
+    assert months == sorted(months) and len(months) > 6
+
+
+@pytest.mark.parametrize(
+    ("change", "message"),
+    [
+        (lambda p: [], "months without prices"),
+        (lambda p: [q for q in p if q["period"] != "2020-05"], "missing prices"),
+        (lambda p: [*p, {"period": "2020-05", "value": 70.0}], "repeated prices"),
+    ],
+)
+def test_build_refuses_odd_prices(spark, inputs, change, message):
+    root, _ = inputs
+    for name in ("brent_usd_bbl", "diesel_usd_gal")[: 2 if message.startswith("months") else 1]:
+        path = root / "prices" / f"eia_{name}.json"
+        points = change(json.loads(path.read_text())["response"]["data"])
+        path.write_text(json.dumps({"response": {"data": points}}))
+    with pytest.raises(DataQualityError, match=message):
+        build(spark, root)
+
+
+def test_partitioned_layout_in_the_job(spark, inputs, rows):
+    root, _ = inputs
+    other = root / "other" / "iso3=NLD" / "year=2023"
+    other.mkdir(parents=True)
+    lines = [line(2023, 2, 528, INDIA, 5.0), line(2023, 3, 528, RUSSIA, 7.0)]
+    (other / "part.json").write_text("\n".join(json.dumps({"count": 1, "data": [x]}) for x in lines))
+    store = Store(spark, str(root / "store"))
+    paths = ["--landing", str(root / "other"), "--partners", str(root / "partners.json"), "--prices", str(root / "prices")]
+    study.main(["build", *paths, "--store", store.root, "--layout", "partitioned", "--lines"])
+    flows = store.get("flows", study.flows_schema())
+    assert rows(flows.filter("netWgt > 0"), "refMonth", "netWgt") == [(2, 5.0), (3, 7.0)]
+
+
 def test_build_refuses_an_unknown_partner(spark, inputs):
     root, land = inputs
     land("FRA", 2023, line(2023, 1, 251, 999, 1.0))

@@ -24,13 +24,14 @@ def completeness(envelopes: DataFrame, grid: DataFrame) -> DataFrame:
     value kept here (months, partners, transport and customs codes) comes from a short code
     list, so the sets stay small, combine on the map side, and one grouping serves all.
     """
-    line = envelopes.select("iso3", "year", F.explode_outer("data").alias("r")).select(
-        "iso3", "year", F.col("r").isNotNull().alias("is_line"), "r.*"
+    line = envelopes.select("iso3", "year", "unreadable", F.explode_outer("data").alias("r")).select(
+        "iso3", "year", "unreadable", F.col("r").isNotNull().alias("is_line"), "r.*"
     )
     weight = F.coalesce("netWgt", F.lit(0.0))
     is_world = F.col("partnerCode") == WORLD_PARTNER
     found = line.groupBy("iso3", "year").agg(
         F.count_if("is_line").alias("n_rows"),
+        F.bool_or("unreadable").alias("unreadable"),
         F.collect_set("refMonth").alias("months"),
         F.collect_set("partnerCode").alias("partners"),
         F.collect_set("motCode").alias("mots"),
@@ -44,6 +45,7 @@ def completeness(envelopes: DataFrame, grid: DataFrame) -> DataFrame:
     report = found.select(
         "iso3",
         "year",
+        "unreadable",
         "n_rows",
         F.size("months").cast("long").alias("n_months"),
         _listed(F.col("months")).alias("months_present"),
@@ -63,9 +65,14 @@ def completeness(envelopes: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_files(report: DataFrame) -> DataFrame:
+    """Landed, but cut short or with values of another type than declared."""
+    return report.filter("unreadable").select("reporter", "year")
+
+
 def empty_files(report: DataFrame) -> DataFrame:
-    """Landed but without lines: candidates for another download."""
-    return report.filter("file_exists AND n_rows = 0").select("reporter", "year")
+    """Landed and readable, but without lines: candidates for another download."""
+    return report.filter("file_exists AND NOT unreadable AND n_rows = 0").select("reporter", "year")
 
 
 def partial_years(report: DataFrame) -> DataFrame:

@@ -28,23 +28,23 @@ def constant_violations(
 ) -> DataFrame:
     """Values of the given columns outside their expected set, and expected values never seen.
 
-    Columns: column, value, n_rows (0 for a value that is absent). All columns are counted
-    in one scan and one shuffle, which carries distinct values, not rows.
+    Columns: column, value, n_rows (0 for a value that is absent). Lines are counted by the values
+    of all columns together, once, and only these few groups are taken apart by column.
     """
+    names = list(expected)
 
     def pair(name: str, value: Column) -> Column:
         return F.struct(F.lit(name).alias("column"), value.cast("string").alias("value"))
 
-    def exploded(source: DataFrame, pairs: list[Column], n_rows: int, wanted: bool) -> DataFrame:
+    def apart(source: DataFrame, pairs: list[Column], n: Column, wanted: bool) -> DataFrame:
         return source.select(
-            F.explode(F.array(*pairs)).alias("pair"),
-            F.lit(n_rows).alias("n"),
-            F.lit(wanted).alias("wanted"),
+            F.explode(F.array(*pairs)).alias("pair"), n.alias("n"), F.lit(wanted).alias("wanted")
         )
 
-    seen = exploded(df, [pair(name, F.col(name)) for name in expected], 1, False)
+    groups = df.groupBy(*names).agg(F.count("*").alias("n_lines"))
+    seen = apart(groups, [pair(name, F.col(name)) for name in names], F.col("n_lines"), False)
     listed = [pair(name, F.lit(v)) for name, values in expected.items() for v in values]
-    wanted = exploded(df.sparkSession.range(1), listed, 0, True)
+    wanted = apart(df.sparkSession.range(1), listed, F.lit(0).cast("long"), True)
     return (
         seen.unionByName(wanted)
         .groupBy("pair.column", "pair.value")
@@ -72,6 +72,12 @@ def missing_prices(prices: DataFrame, series: Sequence[str]) -> DataFrame:
     return prices.select("refYear", "refMonth", F.explode(gaps).alias("series"))
 
 
+def absent_months(prices: DataFrame, months: DataFrame) -> DataFrame:
+    """Months of a date dimension that a tidy price table does not hold at all."""
+    expected = months.select(F.year("Date").alias("refYear"), F.month("Date").alias("refMonth"))
+    return expected.join(prices, ["refYear", "refMonth"], "left_anti")
+
+
 def orphan_dates(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Dates of a mart fact that the date dimension lacks."""
     return fact.select("Date").distinct().join(date_dim, "Date", "left_anti")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tradeflow.functions import month_start, until
 from tradeflow.operators.quality import enforce, orphan_dates
@@ -74,7 +75,21 @@ def check_dates(marts: dict[str, DataFrame], dimension: str = "date_dim") -> Non
             enforce(orphan_dates(mart, marts[dimension]), f"dates of {name}")
 
 
-def export(marts: dict[str, DataFrame], folder: str) -> None:
-    """Write each mart as CSV with a header under folder/name."""
+# Columns that exported tables are ordered by, as far as a table has them: time, then size or name.
+ORDER = (
+    "refYear", "refMonth", "Date", "lag", "reporter", "year", "reporterCode", "partnerCode",
+    "-total_t", "-tonnes", "origin", "partnerName", "confidence", "reporterName",
+)
+
+
+def in_order(mart: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows in the order of the keys and of ORDER; a range-partitioned sort, not a single task."""
+    named = [c for c in ORDER if c.removeprefix("-") in mart.columns]
+    by = [F.asc(k) for k in keys] + [F.desc(c[1:]) if c[0] == "-" else F.asc(c) for c in named]
+    return mart.orderBy(*by) if by else mart
+
+
+def export(marts: dict[str, DataFrame], folder: str, keys: Sequence[str] = ()) -> None:
+    """Write each mart as CSV with a header under folder/name, rows in order over its files."""
     for name, mart in marts.items():
-        write_csv(mart, f"{folder}/{name}")
+        write_csv(in_order(mart, [k for k in keys if k in mart.columns]), f"{folder}/{name}")

@@ -8,6 +8,9 @@ two layouts:
 
 An envelope is one JSON value, so one task reads it. In the partitioned layout a large reporter
 lands as many envelopes, one per line, over any number of files; every reader takes them together.
+
+An envelope that is cut short, or holds a value of another type than declared, is unreadable: it is
+marked, counts as neither empty nor landed lines, and ingest refuses it.
 """
 
 from __future__ import annotations
@@ -29,38 +32,60 @@ PARTITIONED_KEYS = r"iso3=([A-Z0-9]{3})/year=([0-9]{4})/"
 _LAYOUTS = {"named": (NAMED_GLOB, NAMED_KEYS), "partitioned": (PARTITIONED_GLOB, PARTITIONED_KEYS)}
 
 
+CORRUPT = "_corrupt_record"
+
+
 def envelope_schema(layout: str) -> T.StructType:
     """Schema to read with; the partitioned layout takes its keys from the folder names."""
+    fields = [*FLOW_ENVELOPE.fields, T.StructField(CORRUPT, STRING)]
     if layout == "named":
-        return FLOW_ENVELOPE
-    keys = [T.StructField("iso3", STRING), T.StructField("year", INT)]
-    return T.StructType([*FLOW_ENVELOPE.fields, *keys])
+        return T.StructType(fields)
+    return T.StructType([*fields, T.StructField("iso3", STRING), T.StructField("year", INT)])
+
+
+def readable(df: DataFrame, array: str) -> DataFrame:
+    """df with a flag `unreadable`, and the array null where it is set.
+
+    Spark does not answer a query on the corrupt record alone, so the flag looks at the array too.
+    """
+    bad = F.col(CORRUPT).isNotNull() & (F.coalesce(F.size(array), F.lit(0)) >= -1)
+    flagged = df.withColumn("unreadable", bad)
+    return flagged.withColumn(array, F.when(~F.col("unreadable"), F.col(array))).drop(CORRUPT)
 
 
 def path_keys(path: Column, layout: str) -> list[Column]:
     pattern = _LAYOUTS[layout][1]
     return [
         F.regexp_extract(path, pattern, 1).alias("iso3"),
-        F.regexp_extract(path, pattern, 2).cast("int").alias("year"),
+        F.regexp_extract(path, pattern, 2).try_cast("int").alias("year"),
     ]
 
 
 def read_envelopes(
-    spark: SparkSession, path: str, layout: str = "named", multi_line: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    layout: str = "named",
+    multi_line: bool = True,
+    base: str | None = None,
 ) -> DataFrame:
-    """One row per envelope: iso3, year, data.
+    """One row per envelope: iso3, year, data, unreadable.
 
-    Pass multi_line=False if envelopes are written one per line, so big files can be split.
+    Pass multi_line=False if envelopes are written one per line, so big files can be split, and
+    the landing folder as base if path lists some of its files.
     """
-    files = (
+    reader = (
         spark.read.schema(envelope_schema(layout))
         .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", _LAYOUTS[layout][0])
-        .json(path)
     )
+    files = (reader if base is None else reader.option("basePath", base)).json(path)
     if layout == "partitioned":
-        return files.select("iso3", "year", "data")
-    return files.select(*path_keys(F.col("_metadata.file_name"), layout), "data")
+        return readable(files, "data").select("iso3", "year", "data", "unreadable")
+    keys = path_keys(F.col("_metadata.file_name"), layout)
+    named = files.select(*keys, "data", CORRUPT)
+    return readable(named, "data").select("iso3", "year", "data", "unreadable")
 
 
 def stack_raw(envelopes: DataFrame) -> DataFrame:
@@ -68,15 +93,34 @@ def stack_raw(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(F.explode("data").alias("record")).select("record.*")
 
 
-def landed(spark: SparkSession, path: str, layout: str = "named") -> DataFrame:
-    """(iso3, year) of every landed file, from the file listing alone: no file is opened."""
+def landed_files(spark: SparkSession, path: str, layout: str = "named") -> DataFrame:
+    """path, length, modified, iso3, year of every landed file, from the listing alone.
+
+    A file without a byte is not listed: it has not landed yet, and the gap list says so.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", _LAYOUTS[layout][0])
         .option("recursiveFileLookup", True)
         .load(path)
     )
-    return listing.select(*path_keys(F.col("path"), layout)).distinct()
+    return listing.select(
+        "path",
+        "length",
+        F.col("modificationTime").alias("modified"),
+        *path_keys(F.col("path"), layout),
+    )
+
+
+def odd_files(files: DataFrame) -> DataFrame:
+    """Landed files whose name tells no reporter and year."""
+    return files.filter("iso3 = '' OR year IS NULL").select("path", "length")
+
+
+def landed(spark: SparkSession, path: str, layout: str = "named") -> DataFrame:
+    """(iso3, year) of every landed file with a telling name: no file is opened."""
+    files = landed_files(spark, path, layout)
+    return files.filter("iso3 != '' AND year IS NOT NULL").select("iso3", "year").distinct()
 
 
 def expected_grid(reporters: DataFrame, years: Iterable[int]) -> DataFrame:

@@ -1,62 +1,134 @@
-"""Incremental landing: each file enters the raw table exactly once."""
+"""Incremental landing: the raw table holds what the landed files hold now.
+
+Files are known by path, length and modification time. A run takes the reporter-years with files
+that are new, changed or gone, reads all their present files, and appends the lines under a run of
+their own. The manifest, written last, says which run of each reporter-year counts, so
+
+* a file landed late with an old time, replaced under its name, emptied or deleted is seen;
+* a run that is killed leaves lines of a run that no manifest names, and is repeated as a whole;
+* what is read never mixes two states of a reporter-year.
+
+All present files of a reporter-year count together: a correction replaces its file, it does
+not lie beside it. The listing passes through the driver, as in any read of files; lines do not.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tradeflow.schemas import RAW_RECORD
-from tradeflow.sources.landing import NAMED_GLOB, PARTITIONED_GLOB, envelope_schema, stack_raw
+from tradeflow.operators.quality import enforce
+from tradeflow.schemas import INT, RAW_RECORD, STRING
+from tradeflow.sources import landing as source
 
 RAW_PARTITION = "refYear"
+KEYS = ["iso3", "year"]
+LANDED = T.StructType(
+    [
+        *RAW_RECORD.fields,
+        T.StructField("landedIso3", STRING),
+        T.StructField("landedYear", INT),
+        T.StructField("run", STRING),
+    ]
+)
+MANIFEST = T.StructType(
+    [
+        T.StructField("path", STRING),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("iso3", STRING),
+        T.StructField("year", INT),
+        T.StructField("run", STRING),
+        T.StructField("seq", INT),
+    ]
+)
 
 
-def raw_stream(
-    spark: SparkSession,
-    landing: str,
-    layout: str = "named",
-    multi_line: bool = True,
-    files_per_batch: int = 1000,
-) -> DataFrame:
-    """Records of landed files as a stream."""
-    files = (
-        spark.readStream.schema(envelope_schema(layout))
-        .option("multiLine", multi_line)
-        .option("pathGlobFilter", NAMED_GLOB if layout == "named" else PARTITIONED_GLOB)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(landing)
-    )
-    return stack_raw(files)
+def current(spark: SparkSession, manifest: str) -> DataFrame:
+    """The files that counted after the last run, each with its run; no rows before the first."""
+    try:
+        runs = spark.read.schema(MANIFEST).parquet(manifest)
+        last = runs.agg(F.max("seq")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+    return runs.filter(F.col("seq") == F.lit(last))
+
+
+def touched(files: DataFrame, known: DataFrame) -> DataFrame:
+    """Reporter-years with files that are new, changed or gone."""
+    same = ["path", "length", "modified"]
+    fresh = files.join(known, same, "left_anti").select(KEYS)
+    gone = known.join(files, same, "left_anti").select(KEYS)
+    return fresh.unionByName(gone).distinct()
+
+
+def unreadable(envelopes: DataFrame) -> DataFrame:
+    """Reporter-years with an envelope that could not be read as declared."""
+    return envelopes.filter("unreadable").select(KEYS).distinct()
 
 
 def ingest_new_files(
     spark: SparkSession,
     landing: str,
     table: str,
-    checkpoint: str,
+    manifest: str,
     layout: str = "named",
     multi_line: bool = True,
-    files_per_batch: int = 1000,
-) -> StreamingQuery:
-    """Append the files that landed since the last run, then stop.
+) -> int:
+    """Bring the raw table up to date with the landing folder; the number of files read.
 
-    The checkpoint remembers which files were taken and the Parquet sink commits a batch as a
-    whole, so a run can be killed and repeated without losing or doubling a line.
+    Raises DataQualityError, and changes nothing, if a file has an odd name or holds an
+    unreadable envelope.
     """
-    query = (
-        raw_stream(spark, landing, layout, multi_line, files_per_batch)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(RAW_PARTITION)
-        .option("path", table)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    files = source.landed_files(spark, landing, layout)
+    enforce(source.odd_files(files), "odd files")
+    known = current(spark, manifest)
+    seq = (known.agg(F.max("seq")).first()[0] or 0) + 1
+    changed = touched(files, known)
+    paths = sorted(r["path"] for r in files.join(changed, KEYS).select("path").collect())
+    if not paths and not changed.take(1) and seq > 1:
+        return 0
+
+    run = uuid.uuid4().hex
+    if paths:
+        envelopes = source.read_envelopes(spark, paths, layout, multi_line, landing)
+        enforce(unreadable(envelopes), "unreadable files")
+        lines = envelopes.select(*KEYS, F.explode("data").alias("record")).select(
+            "record.*",
+            F.col("iso3").alias("landedIso3"),
+            F.col("year").alias("landedYear"),
+            F.lit(run).alias("run"),
+        )
+    else:
+        lines = spark.createDataFrame([], LANDED)
+    # Merged and split to even files; without it every task leaves a sliver of every year.
+    lines = lines.hint("rebalance", RAW_PARTITION)
+    lines.write.mode("append").partitionBy(RAW_PARTITION).parquet(table)
+
+    runs = known.select(*KEYS, F.col("run").alias("before")).distinct()
+    now = (
+        files.join(changed.withColumn("is_new", F.lit(True)), KEYS, "left")
+        .join(runs, KEYS, "left")
+        .withColumn("run", F.when(F.col("is_new"), run).otherwise(F.col("before")))
+        .withColumn("seq", F.lit(seq))
     )
-    query.awaitTermination()
-    return query
+    # One row a file, in one file, which appears as a whole or not at all.
+    now.select(MANIFEST.fieldNames()).coalesce(1).write.mode("append").parquet(manifest)
+    return len(paths)
 
 
-def read_raw(spark: SparkSession, table: str) -> DataFrame:
-    """The raw table, partitioned by year, as one typed DataFrame."""
-    return spark.read.schema(RAW_RECORD).parquet(table).select(RAW_RECORD.fieldNames())
+def read_raw(spark: SparkSession, table: str, manifest: str) -> DataFrame:
+    """The raw table, partitioned by year: the lines of the runs that count."""
+    counting = current(spark, manifest).select(
+        F.col("iso3").alias("landedIso3"), F.col("year").alias("landedYear"), "run"
+    )
+    lines = spark.read.schema(LANDED).parquet(table)
+    return lines.join(
+        counting.distinct(), ["landedIso3", "landedYear", "run"], "left_semi"
+    ).select(RAW_RECORD.fieldNames())

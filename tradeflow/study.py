@@ -1,10 +1,13 @@
 """The whole study as a Spark job: landed files -> tables -> results and reporting marts.
 
     spark-submit -m tradeflow.study build  --landing L --partners P --prices E --store S
+    spark-submit -m tradeflow.study check  --landing L --store S --out O
     spark-submit -m tradeflow.study export --store S --out O
 
-build may be run again after more files have landed: it ingests those alone and rewrites the
-tables derived from them. --keys cmdCode,flowCode runs the same study for every commodity and
+build may be run again after files have landed, changed or gone: it ingests those reporter-years alone
+and rewrites the tables derived from them. check writes the completeness report, its exceptions, the
+gap list, the reconciliation with World and the zero-fill figures. --layout partitioned and --lines
+read large reporters as many envelopes, one a line. --keys cmdCode,flowCode runs the same study for every commodity and
 flow direction at once.
 """
 
@@ -16,13 +19,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tradeflow.operators import dims, distance, prices, quality, shares, zone
+from tradeflow.operators import (
+    completeness,
+    densify,
+    dims,
+    distance,
+    enrich,
+    prices,
+    quality,
+    shares,
+    zone,
+)
+from tradeflow.operators.clean import split_detail, totals_only
 from tradeflow.operators.enrich import check_dimensions
 from tradeflow.plans import build, marts
 from tradeflow.plans.store import Store
 from tradeflow.schemas import DOUBLE, FLOWS, INT, RAW_RECORD
+from tradeflow.session import SETTINGS
 from tradeflow.sources import landing, reference, tables
-from tradeflow.sources.fixed_values import CONSTANT_CODES, PRICE_SERIES
+from tradeflow.sources.fixed_values import CONSTANT_CODES, PRICE_SERIES, YEARS
 from tradeflow.streaming import ingest
 
 START_DATE = f"{prices.START_PERIOD}-01"
@@ -53,12 +68,15 @@ def build_tables(
     price_dir: str,
     store: Store,
     keys: Sequence[str] = (),
+    layout: str = "named",
+    multi_line: bool = True,
 ) -> None:
     """Ingest what is new, check it, and write the tables flows, zone, prices and the rollup
     extra_zone_monthly, which most analyses read in place of the flows.
     """
-    ingest.ingest_new_files(spark, landing_dir, store.path("raw"), store.path("checkpoint"))
-    raw = ingest.read_raw(spark, store.path("raw"))
+    raw_table, manifest = store.path("raw"), store.path("raw-manifest")
+    ingest.ingest_new_files(spark, landing_dir, raw_table, manifest, layout, multi_line)
+    raw = ingest.read_raw(spark, raw_table, manifest)
     constant = {name: codes for name, codes in CONSTANT_CODES.items() if name not in keys}
     if constant:
         quality.enforce(quality.constant_violations(raw, constant), "constant columns")
@@ -73,14 +91,51 @@ def build_tables(
     rollup = shares.origin_month(zone.extra_zone_countries(flows, members), keys)
     store.put("extra_zone_monthly", rollup, ["refYear"])
 
-    tidy = store.put("prices", prices.tidy_prices(reference.read_price_series(spark, price_dir)))
+    points = reference.read_price_series(spark, price_dir)
+    quality.enforce(quality.duplicate_keys(points, ["series", "period"]), "repeated prices")
+    tidy = store.put("prices", prices.tidy_prices(points))
+    months = dims.date_dim(spark, START_DATE, f"{prices.END_PERIOD}-01")
+    quality.enforce(quality.absent_months(tidy, months), "months without prices")
     quality.enforce(quality.missing_prices(tidy, PRICE_SERIES), "missing prices")
 
 
-def missing_files(spark: SparkSession, landing_dir: str, years: range) -> DataFrame:
+def missing_files(
+    spark: SparkSession, landing_dir: str, years: range, layout: str = "named"
+) -> DataFrame:
     """What the next download has to fetch."""
     grid = landing.expected_grid(tables.reporters(spark), years)
-    return landing.landing_gaps(grid, landing.landed(spark, landing_dir))
+    return landing.landing_gaps(grid, landing.landed(spark, landing_dir, layout))
+
+
+def checks(
+    spark: SparkSession,
+    landing_dir: str,
+    store: Store,
+    keys: Sequence[str] = (),
+    layout: str = "named",
+    multi_line: bool = True,
+) -> dict[str, DataFrame]:
+    """Reports on what landed and what became of it."""
+    grid = landing.expected_grid(tables.reporters(spark), YEARS)
+    envelopes = landing.read_envelopes(spark, landing_dir, layout, multi_line)
+    report = store.put("completeness", completeness.completeness(envelopes, grid))
+    raw = ingest.read_raw(spark, store.path("raw"), store.path("raw-manifest"))
+    totals = totals_only(raw, keys)
+    flows = store.get("flows", flows_schema(keys))
+    return {
+        "completeness": report.orderBy("reporter", "year"),
+        "unreadable_files": completeness.unreadable_files(report),
+        "empty_files": completeness.empty_files(report),
+        "partial_years": completeness.partial_years(report),
+        "gap_files": completeness.gap_files(report),
+        "code_lists": completeness.code_lists(report),
+        "missing_files": missing_files(spark, landing_dir, YEARS, layout),
+        "world_reconciliation": quality.world_recon(totals, keys),
+        "world_reconciliation_monthly": quality.world_recon_monthly(totals, keys),
+        "special_share": enrich.special_share(flows, keys),
+        "zero_fill": densify.zero_fill_summary(split_detail(totals), keys),
+        "lanes": densify.lane_summary(flows, keys),
+    }
 
 
 def register_views(spark: SparkSession, store: Store, keys: Sequence[str] = ()) -> None:
@@ -157,22 +212,36 @@ def main(argv: list[str] | None = None) -> None:
     build_step = steps.add_parser("build", help="ingest new files and write the tables")
     for option in ("landing", "partners", "prices", "store"):
         build_step.add_argument(f"--{option}", required=True)
+    check_step = steps.add_parser("check", help="write the reports on what landed as CSV")
+    for option in ("landing", "store", "out"):
+        check_step.add_argument(f"--{option}", required=True)
+    for step in (build_step, check_step):
+        step.add_argument("--layout", choices=("named", "partitioned"), default="named")
+        step.add_argument("--lines", action="store_true", help="one envelope a line")
     export_step = steps.add_parser("export", help="write results and marts as CSV")
     for option in ("store", "out"):
         export_step.add_argument(f"--{option}", required=True)
-    for step in (build_step, export_step):
+    for step in (build_step, check_step, export_step):
         step.add_argument("--keys", type=lambda text: text.split(","), default=[])
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName("tradeflow").getOrCreate()
+    builder = SparkSession.builder.appName("tradeflow")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     store = Store(spark, args.store)
     if args.step == "build":
-        build_tables(spark, args.landing, args.partners, args.prices, store, args.keys)
+        build_tables(
+            spark, args.landing, args.partners, args.prices, store, args.keys, args.layout, not args.lines
+        )
+    elif args.step == "check":
+        reports = checks(spark, args.landing, store, args.keys, args.layout, not args.lines)
+        marts.export(reports, f"{args.out}/checks", args.keys)
     else:
         star = reporting_marts(spark, store, args.keys)
         marts.check_dates(star)
-        marts.export(star, f"{args.out}/marts")
-        marts.export(results(spark, store, args.keys), f"{args.out}/results")
+        marts.export(star, f"{args.out}/marts", args.keys)
+        marts.export(results(spark, store, args.keys), f"{args.out}/results", args.keys)
 
 
 if __name__ == "__main__":

@@ -277,18 +277,19 @@ class Fixture:
 
     # -- landing folder ----------------------------------------------------------------
 
-    def envelopes(self) -> DataFrame:
-        """Landed envelopes, one per reporter and month; some years are missing, some empty.
+    def envelopes(self, whole: bool = False) -> DataFrame:
+        """Landed envelopes, one per reporter and month.
 
-        An envelope is bounded: it lists one reporter's partner lines of one month.
+        Some years are missing and some empty, as completeness reports want it; with `whole` all
+        lines land. An envelope is bounded: it lists one reporter's partner lines of one month.
         """
         key = F.col("reporterCode") + F.col("refYear")
         record = F.struct(*RAW_RECORD.fieldNames())
         return (
             self.raw.join(self.reporters, "reporterCode")
-            .filter(key % 13 != 5)
+            .filter(F.lit(whole) | (key % 13 != 5))
             .groupBy(F.col("reporterName").alias("iso3"), F.col("refYear").alias("year"), "refMonth")
-            .agg(F.collect_list(F.when(key % 11 != 0, record)).alias("data"))
+            .agg(F.collect_list(F.when(F.lit(whole) | (key % 11 != 0), record)).alias("data"))
             .select("iso3", "year", F.size("data").alias("count"), "data")
         )
 
@@ -305,6 +306,18 @@ class Fixture:
         self._once("landing", land)
         return path
 
+    @property
+    def whole_envelopes(self) -> DataFrame:
+        """All lines, landed and read back."""
+        path = self.store.path("landing_whole")
+
+        def land() -> DataFrame:
+            files = self.envelopes(whole=True)
+            files.write.mode("overwrite").partitionBy("iso3", "year").json(path)
+            return landing.read_envelopes(self.spark, path, "partitioned", multi_line=False)
+
+        return self._once("whole envelopes", land)
+
     @property
     def landed_envelopes(self) -> DataFrame:
         """The landed envelopes, their folder listed once."""

@@ -207,8 +207,6 @@ _DERIVED = {
     "changes": """
         SELECT "cmdCode", d, x - lag(x) OVER w AS x, p - lag(p) OVER w AS p
         FROM levels WINDOW w AS (PARTITION BY "cmdCode" ORDER BY d)""",
-    "gappy": """
-        SELECT * FROM levels WHERE (year(d) * 12 + month(d)) % 5 <> 0""",
 }
 
 CTES.update({k.format(s=""): v.format(s="", t="one_type") for k, v in _CHAIN.items()})
@@ -287,10 +285,13 @@ def _before_after(where: str = "true") -> str:
 
 STATEMENTS: dict[str, str] = {
     "raw_lines": f"SELECT {RAW_COLUMNS} FROM raw",
-    "stack_raw": f"SELECT {RAW_COLUMNS} FROM landed_lines",
-    "ingest_incremental": f"SELECT {RAW_COLUMNS} FROM landed_lines",
+    "stack_raw": f"SELECT {RAW_COLUMNS} FROM raw",
+    "ingest_incremental": f"SELECT {RAW_COLUMNS} FROM raw",
+    "ingest_relanded": f"SELECT {RAW_COLUMNS} FROM raw",
     "landing_gaps": 'SELECT g.* FROM grid g ANTI JOIN landed_files USING (iso3, year)',
-    "completeness": "SELECT * REPLACE (round(world_gap_pct, 6) AS world_gap_pct) FROM report",
+    "completeness": """
+        SELECT * REPLACE (round(world_gap_pct, 6) AS world_gap_pct),
+               CASE WHEN file_exists THEN FALSE END AS unreadable FROM report""",
     "completeness_empty": "SELECT reporter, year FROM report WHERE file_exists AND n_rows = 0",
     "completeness_partial": """
         SELECT reporter, year, n_months, months_present FROM report WHERE n_rows > 0 AND n_months < 12""",
@@ -433,7 +434,7 @@ STATEMENTS: dict[str, str] = {
                round(crack_spread_usd_bbl, 6) AS crack_spread_usd_bbl FROM price_flow""",
     "lag_corr_levels": _correlation(_by_row("levels")),
     "lag_corr_changes": _correlation(_by_row("changes")),
-    "lag_corr_calendar": _correlation(_by_month("gappy")),
+    "lag_corr_calendar": _correlation(_by_month("levels")),
     "best_lag": """
         SELECT (SELECT lag FROM fits ORDER BY r DESC, lag LIMIT 1) AS best_lag,
                (SELECT MAX(r) FROM fits) AS best_r,

@@ -88,7 +88,7 @@ def raw_lines(fx: Fixture) -> DataFrame:
 
 @query
 def stack_raw(fx: Fixture) -> DataFrame:
-    return landing.stack_raw(_envelopes(fx))
+    return landing.stack_raw(fx.whole_envelopes)
 
 
 @query
@@ -101,14 +101,27 @@ def landing_gaps(fx: Fixture) -> DataFrame:
 def ingest_incremental(fx: Fixture) -> DataFrame:
     """Files land in two steps, with a run after each and one more with nothing new."""
     run = fx.store.path(f"incremental-{uuid.uuid4().hex}")
-    folder, checkpoint, table = (f"{run}/{part}" for part in ("landing", "checkpoint", "raw"))
+    folder, manifest, table = (f"{run}/{part}" for part in ("landing", "manifest", "raw"))
     first = F.col("year") <= LAST_FIRST_BATCH_YEAR
     for part in (first, ~first, None):
         if part is not None:
-            files = fx.envelopes().filter(part)
+            files = fx.envelopes(whole=True).filter(part)
             files.write.mode("append").partitionBy("iso3", "year").json(folder)
-        ingest.ingest_new_files(fx.spark, folder, table, checkpoint, "partitioned", False)
-    return ingest.read_raw(fx.spark, table)
+        ingest.ingest_new_files(fx.spark, folder, table, manifest, "partitioned", False)
+    return ingest.read_raw(fx.spark, table, manifest)
+
+
+@query
+def ingest_relanded(fx: Fixture) -> DataFrame:
+    """All reporter-years land without their lines of later months, and then once more in full."""
+    run = fx.store.path(f"relanded-{uuid.uuid4().hex}")
+    folder, manifest, table = (f"{run}/{part}" for part in ("landing", "manifest", "raw"))
+    whole = fx.envelopes(whole=True)
+    early = F.filter("data", lambda line: line["refMonth"] <= 6)
+    for files in (whole.withColumn("data", early), whole):
+        files.write.mode("overwrite").partitionBy("iso3", "year").json(folder)
+        ingest.ingest_new_files(fx.spark, folder, table, manifest, "partitioned", False)
+    return ingest.read_raw(fx.spark, table, manifest)
 
 
 @query
@@ -382,9 +395,8 @@ def lag_corr_changes(fx: Fixture) -> DataFrame:
 
 @query
 def lag_corr_calendar(fx: Fixture) -> DataFrame:
-    """By calendar month, over volumes from which every fifth month was removed."""
-    gappy = _price_flow(fx).filter((F.col("refYear") * 12 + F.col("refMonth")) % 5 != 0)
-    return prices.lag_correlation(gappy, calendar=True)
+    """By calendar month, over all months."""
+    return prices.lag_correlation(_price_flow(fx), calendar=True)
 
 
 @query
