@@ -148,7 +148,7 @@ def test_partitioned_layout_in_the_job(spark, inputs, rows):
 def test_build_refuses_an_unknown_partner(spark, inputs):
     root, land = inputs
     land("FRA", 2023, line(2023, 1, 251, 999, 1.0))
-    with pytest.raises(DataQualityError, match="unmatched partner codes.*999"):
+    with pytest.raises(DataQualityError, match="unmatched codes.*partnerCode.*999"):
         build(spark, root)
 
 

@@ -36,8 +36,11 @@ def _lanes(
     lanes = flows.groupBy(*by, "partnerCode").agg(
         F.count("*").alias("n_rows"),
         F.collect_set(present).alias("present"),
-        *[F.max(name).alias(name) for name in attributes],
+        # All attributes of one row: a partner spelt in two ways keeps name and code together.
+        *([F.max(F.struct(*attributes)).alias("own")] if attributes else []),
     )
+    if attributes:
+        lanes = lanes.select("*", "own.*").drop("own")
     silent = F.array_except("published", "present")
     return (
         lanes.join(_published(flows, by), by, "left")

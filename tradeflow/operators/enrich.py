@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions import pct
-from tradeflow.operators.quality import duplicate_keys, enforce, unmatched_codes
+from tradeflow.operators.quality import duplicate_keys, enforce, unknown_codes
 from tradeflow.sources.fixed_values import KG_PER_TONNE
 
 
@@ -25,8 +25,7 @@ def check_dimensions(detail: DataFrame, partners: DataFrame, reporters: DataFram
     """Fail on codes without a name, and on a dimension that would multiply the flows."""
     enforce(duplicate_keys(partners, ["partnerCode"]), "duplicate partner codes")
     enforce(duplicate_keys(reporters, ["reporterCode"]), "duplicate reporter codes")
-    enforce(unmatched_codes(detail, partners, "partnerCode"), "unmatched partner codes")
-    enforce(unmatched_codes(detail, reporters, "reporterCode"), "unmatched reporter codes")
+    enforce(unknown_codes(detail, {"partnerCode": partners, "reporterCode": reporters}), "unmatched codes")
 
 
 def special_share(named: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,19 @@ def unmatched_codes(df: DataFrame, dim: DataFrame, code: str) -> DataFrame:
     return df.select(code).distinct().join(dim, code, "left_anti")
 
 
+def unknown_codes(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Codes of df that their dimension does not know, for several columns in one scan of df.
+
+    Columns: column, code. The scan leaves the distinct combinations of codes, a short list.
+    """
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("code")) for c in dims]
+    seen = df.select(*dims).distinct().select(F.explode(F.array(*pairs)).alias("pair"))
+    known = [dim.select(F.lit(c).alias("column"), F.col(c).alias("code")) for c, dim in dims.items()]
+    return seen.select("pair.*").distinct().join(
+        reduce(DataFrame.unionByName, known), ["column", "code"], "left_anti"
+    )
+
+
 def duplicate_keys(dim: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; joining such a dimension would multiply the facts."""
     return dim.groupBy(*key).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")

@@ -80,14 +80,3 @@ MARKET_SHARES = _struct(
     ("tonnes", DOUBLE),
     ("share_pct", DOUBLE),
 )
-
-TONNE_MILES = _struct(
-    ("refYear", INT),
-    ("refMonth", INT),
-    ("extra_zone_tonnes", DOUBLE),
-    ("tonne_nm", DOUBLE),
-    ("avg_distance_nm", DOUBLE),
-    ("date", T.DateType()),
-)
-
-COVERAGE = _struct(("partnerName", STRING), ("tonnes", DOUBLE), ("cumulative_pct", DOUBLE))

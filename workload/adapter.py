@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.operators import dims, prices, zone
+from tradeflow.operators import dims, prices, shares, zone
 from tradeflow.plans import build
 from tradeflow.plans.store import Store
 from tradeflow.schemas import RAW_RECORD
@@ -224,6 +224,13 @@ class Fixture:
     def extra(self) -> DataFrame:
         return zone.extra_zone_countries(self.flows, self.zone)
 
+    @property
+    def extra_monthly(self) -> DataFrame:
+        """The rollup that the study stores and reads in place of the flows."""
+        return self.stored(
+            "extra_zone_monthly", lambda: shares.origin_month(self.extra), ["refYear"]
+        )
+
     @property
     def extra_by_type(self) -> DataFrame:
         return zone.extra_zone_countries(self.flows_by_type, self.zone)

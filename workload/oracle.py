@@ -499,6 +499,13 @@ def with_ctes(statement: str, extra: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({known[n]})" for n in needed) + statement
 
 
+STUDY = (
+    "top_origins_extra", "market_share", "transition_speed", "coverage", "coverage_covered", "price_flow",
+    "tonne_miles", "before_after", "confidence_coverage",
+)
+STATEMENTS.update({f"study_{name}": STATEMENTS[name] for name in STUDY})
+
+
 def oracle_sql() -> dict[str, str]:
     fits = {"fits": _correlation(_by_row("levels"))}
     return {name: with_ctes(sql, fits) for name, sql in STATEMENTS.items()}
