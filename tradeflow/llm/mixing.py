@@ -28,9 +28,10 @@ def n_words(text: Column) -> Column:
 
 
 def draw(key: Column, text: Column, seed: int) -> Column:
-    """Number in [0, 1) that depends on the seed and the row alone."""
-    bits = F.xxhash64(F.lit(seed), key, F.when(key.isNull(), text))
-    return F.shiftrightunsigned(bits, 11) / F.lit(float(2**53))
+    """Number in [0, 1) that depends on the seed and the row alone: 52 bits of an MD5 digest."""
+    name = F.coalesce(key.cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit("")))))
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 13)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**52))
 
 
 def targets(

@@ -26,4 +26,69 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The same answers in DuckDB SQL, where SQL has the means; the other queries are held against
+# brute force in tests/llm.
+ORACLE_SQL: dict[str, str] = {
+    "op6_substring_dedup": r"""
+        WITH texts AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        places AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM texts),
+        windows AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS w FROM places),
+        firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+        gone AS (
+          SELECT DISTINCT doc_id, i + o AS place FROM windows JOIN firsts USING (w), range(50) AS r(o)
+          WHERE first < doc_id),
+        listed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+        kept AS (
+          SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS words FROM listed ANTI JOIN gone USING (doc_id, place)
+          GROUP BY doc_id),
+        counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_removed,
+               sha256(coalesce(k.words, '')) AS kept_sha256
+        FROM texts t LEFT JOIN kept k USING (doc_id) LEFT JOIN counts c USING (doc_id)""",
+    "op8_mixing": r"""
+        WITH sizes AS (
+          SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                 ('0x' || substr(md5('20240501:' || coalesce(
+                    doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+          FROM documents),
+        weighed AS (
+          SELECT source, sum(size)::BIGINT AS source_size, (3 * sum(size))::BIGINT AS cap,
+                 ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight
+          FROM sizes GROUP BY source),
+        running AS (
+          SELECT *, cap / weight AS ratio,
+                 sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0) AS rest,
+                 sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+          FROM weighed WINDOW before AS (ORDER BY cap / weight, source NULLS LAST
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        level AS (
+          SELECT rest::DOUBLE / weights::DOUBLE AS level FROM running
+          WHERE rest::DOUBLE / weights::DOUBLE <= ratio ORDER BY ratio, level LIMIT 1),
+        targets AS (SELECT source, source_size, least(cap::DOUBLE, level * weight) AS target FROM running, level),
+        rates AS (
+          SELECT doc_id, size, t.source_size, target, u,
+                 least(CASE WHEN t.source_size > 0 THEN target / t.source_size ELSE 0 END, 3.0::DOUBLE) AS rate
+          FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM rates""",
+    "op10_embedding_dedup": """
+        WITH RECURSIVE vectors AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND label IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+          ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+        reach AS (
+          SELECT vec_id AS x, vec_id AS y FROM embeddings
+          UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+        roots AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+        degrees AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM roots LEFT JOIN degrees USING (vec_id)""",
+}
