@@ -26,7 +26,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -46,18 +46,37 @@ SELECTORS = (
     (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60),
 )
 _COUNT = np.array([n for n, _ in SELECTORS], dtype=np.int64)
+_SHORT_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 
 
-def _widest(bits: np.ndarray, n: int) -> np.ndarray:
-    """Largest of the n entries that start at each place; past the end they are 0."""
-    best, span = bits, 1
-    while span < n:
-        step = min(span, n - span)
-        moved = np.zeros_like(best)
-        moved[: len(best) - step] = best[step:] if step < len(best) else 0
-        best = np.maximum(best, moved)
-        span += step
-    return best
+def _widest(bits: np.ndarray) -> dict[int, np.ndarray]:
+    """For each selector's count, the largest of so many entries from each place on; 0 past the end."""
+
+    def moved(x: np.ndarray, step: int) -> np.ndarray:
+        out = np.zeros_like(x)
+        out[: max(0, len(x) - step)] = x[step:]
+        return out
+
+    doubled, span = {1: bits}, 1
+    while 2 * span <= max(n for n, _ in SELECTORS):
+        doubled[2 * span] = np.maximum(doubled[span], moved(doubled[span], span))
+        span *= 2
+    found = {}
+    for n, _ in SELECTORS:
+        span = 1 << (n.bit_length() - 1)
+        found[n] = doubled[span] if span == n else np.maximum(doubled[span], moved(doubled[span], n - span))
+    return found
+
+
+def _bits(values: np.ndarray) -> np.ndarray:
+    """Bit lengths of values below 2**60."""
+    if values.max() < len(_SHORT_BITS):
+        return _SHORT_BITS[values]
+    bits = np.frexp(values.astype(np.float64))[1].astype(np.uint8)
+    wide = values >= np.uint64(1) << np.uint64(52)  # float rounding may add a bit there
+    if wide.any():
+        bits[wide] = [int(v).bit_length() for v in values[wide]]
+    return bits
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,14 +90,11 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(values)
     if not n:
         return np.empty(0, np.uint64), escapes
-    bits = np.frexp(values.astype(np.float64))[1].astype(np.uint8)
-    wide = values >= np.uint64(1) << np.uint64(52)  # float rounding may add a bit there
-    if wide.any():
-        bits[wide] = [int(v).bit_length() for v in values[wide]]
+    widest = _widest(_bits(values))
     chosen = np.full(n, len(SELECTORS) - 1, dtype=np.uint8)
     for s in range(len(SELECTORS) - 2, -1, -1):
         count, width = SELECTORS[s]
-        chosen[_widest(bits, count) <= width] = s
+        chosen[widest[count] <= width] = s
     jump = (_COUNT[chosen]).tolist()
     starts, at = [], 0
     while at < n:
@@ -214,10 +230,10 @@ class Vocabulary:
     Latin letter and ASCII punctuation or digits behind it, so ids of such parts side by side are
     those of the whole text. New parts go to the library in one string, with its special token
     between them. Texts are looked up by the words between their spaces. Ids of all words and parts
-    lie in one table; a word or part is a place in it.
+    lie in one table; a word or part is a place in it. A part with one space in front is a word.
     """
 
-    CACHED, LONGEST, MOST_IDS = 1_200_000, 64, 24_000_000
+    CACHED, LONGEST, MOST_IDS = 1_600_000, 64, 24_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -231,8 +247,8 @@ class Vocabulary:
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}  # what follows a space
-        self.parts: dict[str, int] = {}
+        self.words: dict[str | None, int] = {None: 0}  # by what follows a space
+        self.parts: dict[str, int] = {}  # other parts
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.length = np.zeros(1 << 14, dtype=np.int64)
@@ -254,58 +270,79 @@ class Vocabulary:
         self.n_places += len(lengths)
         return range(places.start, places.stop)
 
-    def _gather(self, places: list[int], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def _gather(self, places: list[int] | np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of places in a row, and how many come from each run of `sizes` places."""
-        at = np.array(places, dtype=np.int64)
+        at = np.asarray(places, dtype=np.int64)
         lengths = self.length[at]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         source = np.arange(ends[-1]) - np.repeat(ends[:-1] - self.start[at], lengths)
-        return self.flat[source], np.diff(ends[np.concatenate([[0], np.cumsum(sizes)])])
+        return self.flat[source], np.diff(ends[np.cumsum([0, *sizes])])
 
     def _encode(self, text: str) -> np.ndarray:
         found = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(found.ids, dtype=np.uint32)
 
-    def _learn_parts(self, new: list[str]) -> None:
+    def _learn_parts(self, new: list[str]) -> dict[str, int]:
+        """Places of parts that the library is asked for."""
+        found: dict[str, int] = {}
         for lo in range(0, len(new), 5000):
             some = [s for s in new[lo : lo + 5000] if self.between not in s]
             ids = self._encode(self.between.join(some))
             cuts = np.nonzero(ids == self.between_id)[0]
             lengths = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
             if some:
-                self.parts.update(zip(some, self._append(np.delete(ids, cuts), lengths), strict=True))
+                found.update(zip(some, self._append(np.delete(ids, cuts), lengths), strict=True))
         for s in new:
             if self.between in s:
                 ids = self._encode(s)
-                self.parts[s] = self._append(ids, np.array([len(ids)]))[0]
+                found[s] = self._append(ids, np.array([len(ids)]))[0]
+        return found
 
     def _learn(self, texts: list[str]) -> range:
         """Places of texts, made of their parts."""
         cut = [_PARTS(t) for t in texts]
         flat = list(chain.from_iterable(cut))
-        self._learn_parts(list(set(flat).difference(self.parts)))
-        places = list(map(self.parts.__getitem__, flat))
-        for s in [s for s in flat if len(s) > self.LONGEST]:
-            self.parts.pop(s, None)
+        words, parts = self.words, self.parts
+        places = [words.get(s[1:]) if s[0] == " " else parts.get(s) for s in flat]
+        new = {s for s, place in zip(flat, places, strict=True) if place is None}
+        told = self._learn_parts(list(new))
+        places = [told[s] if p is None else p for s, p in zip(flat, places, strict=True)]
+        for s, place in told.items():
+            if len(s) <= self.LONGEST:
+                if s[0] == " ":
+                    words[s[1:]] = place
+                else:
+                    parts[s] = place
         return self._append(*self._gather(places, [len(c) for c in cut]))
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Length of each text in ids, the end id included, and all ids in a row."""
         if len(self.words) + len(self.parts) > self.CACHED or self.n_flat > self.MOST_IDS:
             self.clear()
-        cut = [t.split(" ") if _spaced(t) else [t] for t in texts]
-        heads = self._learn([c[0] for c in cut])
+        heads, tokens, sizes = [], [], []
+        for t in texts:
+            cut = t.split(" ") if _spaced(t) else [t]
+            heads.append(cut[0])
+            cut[0] = None  # the head has no space in front; None stands for it, and for the end
+            cut.append(None)
+            tokens += cut
+            sizes.append(len(cut))
         words = self.words
-        new = list(set(chain.from_iterable(c[1:] for c in cut)).difference(words))
-        words.update(zip(new, self._learn([" " + w for w in new]), strict=True))
-        places: list[int] = []
-        for head, c in zip(heads, cut, strict=True):
-            places.append(head)
-            places.extend(map(words.__getitem__, c[1:]))
-            places.append(self.end)
-        for w in [w for w in new if len(w) > self.LONGEST]:
-            del words[w]
-        ids, lengths = self._gather(places, [len(c) + 1 for c in cut])
+        places = np.fromiter(map(words.get, tokens, repeat(-1)), np.int64, len(tokens))
+        missing = np.nonzero(places < 0)[0].tolist()
+        if missing:
+            new = {tokens[i] for i in missing}
+            plain = self._learn_parts([" " + w for w in new if w.isalpha()])  # one part each
+            told = {part[1:]: place for part, place in plain.items()}
+            words.update((w, place) for w, place in told.items() if len(w) <= self.LONGEST)
+            mixed = [w for w in new if not w.isalpha()]
+            told.update(zip(mixed, self._learn([" " + w for w in mixed]), strict=True))
+            places[missing] = [told[tokens[i]] for i in missing]
+            words.update((w, told[w]) for w in mixed if len(w) <= self.LONGEST)
+        ends = np.cumsum(sizes)
+        places[ends - sizes] = self._learn(heads)
+        places[ends - 1] = self.end
+        ids, lengths = self._gather(places, sizes)
         return lengths, ids
 
 
