@@ -78,19 +78,20 @@ def rows_of(text: str | None) -> np.ndarray:
 
 SAMPLED = T.StructType(
     [
-        T.StructField("features", T.ArrayType(T.IntegerType())),
-        T.StructField("words", T.ArrayType(T.IntegerType())),
+        T.StructField("features", T.BinaryType()),
+        T.StructField("words", T.BinaryType()),
     ]
 )
 
 
 @pandas_udf(SAMPLED)
 def sampled_features(texts: pd.Series) -> pd.DataFrame:
+    """Features of a text, and those of them that are whole words, as 32-bit integers in bytes."""
     out = {"features": [], "words": []}
     for text in texts:
         rows = rows_of(text)
-        out["features"].append(np.unique(rows).astype(np.int32))
-        out["words"].append(rows[:, 0].astype(np.int32))
+        out["features"].append(np.unique(rows).astype("<i4").tobytes())
+        out["words"].append(np.unique(rows[:, 0]).astype("<i4").tobytes())
     return pd.DataFrame(out)
 
 
@@ -127,13 +128,14 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> Mode
     lengths = np.array([len(r) for r in rows])
     known = telling(columns, np.repeat(grades > 0, lengths), (grades > 0).sum(), (grades == 0).sum())
     row = np.repeat(np.arange(len(rows)), lengths)[known[columns]]
-    columns = columns[known[columns]]
+    used, columns = np.unique(columns[known[columns]], return_inverse=True)
+    n = len(used)
     # Weights and thresholds side by side; steps are scaled by running means of the gradient (Adam).
-    values = np.concatenate([np.zeros(DIMENSIONS), np.linspace(0.0, 2.0, levels)])
+    values = np.concatenate([np.zeros(n), np.linspace(0.0, 2.0, levels)])
     mean, square = np.zeros_like(values), np.zeros_like(values)
     k = np.arange(1, levels + 1)
     for step in range(1, ROUNDS + 1):
-        weights, thresholds = values[:DIMENSIONS], values[DIMENSIONS:]
+        weights, thresholds = values[:n], values[n:]
         scores = np.bincount(row, weights[columns], len(rows))
         up = Model(weights, thresholds).at_least(scores)
         # P(grade = j) = up_j - up_(j+1); derivatives of its logarithm by the score and thresholds.
@@ -145,24 +147,26 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> Mode
         lower = (grades[:, None] == k) * (slope[at, grades] / chance)[:, None]
         upper = (grades[:, None] == k - 1) * (slope[at, grades + 1] / chance)[:, None]
         gradient_t = (upper - lower).sum(axis=0)
-        gradient_w = np.bincount(columns, by_score[row], DIMENSIONS) - PENALTY * weights
+        gradient_w = np.bincount(columns, by_score[row], n) - PENALTY * weights
         gradient = np.concatenate([gradient_w, gradient_t])
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         scale = np.sqrt(square / (1 - 0.99**step)) + 1e-8
         values = values + RATE * mean / (1 - 0.9**step) / scale
-        values[:DIMENSIONS] = np.maximum(values[:DIMENSIONS], 0.0)
-        values[DIMENSIONS:] = np.sort(values[DIMENSIONS:])
-    return Model(values[:DIMENSIONS], values[DIMENSIONS:])
+        values[:n] = np.maximum(values[:n], 0.0)
+        values[n:] = np.sort(values[n:])
+    weights = np.zeros(DIMENSIONS)
+    weights[used] = values[:n]
+    return Model(weights, values[n:])
 
 
 def grade(toxic: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     """0 clean, 1 toxic, 2 severe, by the number of words that only toxic documents hold."""
-    by = [np.zeros(DIMENSIONS, dtype=np.int64) for _ in range(2)]
+    by = [np.zeros(DIMENSIONS, dtype=np.int32) for _ in range(2)]
     for t, w in zip(toxic, words, strict=True):
-        by[int(t)][np.unique(w)] += 1
+        by[int(t)][w] += 1
     marked = (by[1] >= 2) & (by[0] == 0)
-    n = np.array([int(marked[np.unique(w)].sum()) for w in words])
+    n = np.array([int(marked[w].sum()) for w in words])
     return np.where(toxic, 1 + (n >= SEVERE), 0).astype(np.int64)
 
 
@@ -187,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     toxic = np.array([r["toxic"] for r in chosen], dtype=bool)
     if not len(toxic) or toxic.all() or not toxic.any():
         return None
-    arrays = lambda name: [np.array(r[name], dtype=np.int64) for r in chosen]
+    arrays = lambda name: [np.frombuffer(r[name], "<i4") for r in chosen]
     grades = grade(toxic, arrays("words"))
     return fit_ordinal(arrays("features"), grades, 2)
 
