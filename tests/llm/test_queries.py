@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = [int(re.match(r"op(\d+)_[a-z]", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and set(ORACLE_SQL) < set(QUERIES)
+    assert sorted(numbers) == list(range(1, 14)) and set(ORACLE_SQL) < set(QUERIES)
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
 

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeflow.llm import interpolated, lattice, mixing, packed, pieces, quality, secrets, simhash, substrings, toxicity
+from tradeflow.llm import (
+    interpolated,
+    lattice,
+    mixing,
+    packed,
+    periodic,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    toxicity,
+    trie,
+    urls,
+)
 from tradeflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +38,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_dedup": lambda spark, d: lattice.embedding_dedup(
         documents(spark, d, "embeddings")
     ),
+    "op11_periodic_runs": lambda spark, d: periodic.periodic_digest(documents(spark, d)),
+    "op12_prefix_trie": lambda spark, d: trie.rebuilt_trie(documents(spark, d, "conversations")),
+    "op13_url_filters": lambda spark, d: urls.url_filters(spark, documents(spark, d, "pages")),
 }
 
 # The same answers in DuckDB SQL, where SQL has the means; the other queries are held against
@@ -91,4 +108,49 @@ ORACLE_SQL: dict[str, str] = {
         degrees AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
         SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
         FROM roots LEFT JOIN degrees USING (vec_id)""",
+    "op12_prefix_trie": """
+        WITH convs AS (
+          SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s,
+                 conv_id::VARCHAR AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        codes AS (
+          SELECT c, s, list_transform(range(1, length(t) + 1), lambda i: ascii(substr(t, i::INT, 1))::BIGINT) AS t FROM convs),
+        heads AS (
+          SELECT c, s, c - c % 5 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, t),
+                 lambda crc, code: list_reduce(list_prepend(xor(crc, code), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                 lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 9 AS h FROM codes),
+        rebuilt AS (
+          SELECT a.c, list_concat(coalesce(b.s[1:a.h], []), a.s[a.h + 1:]) AS s
+          FROM heads a LEFT JOIN convs b ON b.c = a.base),
+        depths AS (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM rebuilt),
+        members AS (
+          SELECT c, d, md5(s[1:d]::VARCHAR) AS p, md5(s[1:d - 1]::VARCHAR) AS q, d = len(s) AS is_last,
+                 CASE WHEN d > 0 THEN strlen(s[d].text) ELSE 0 END AS size FROM depths),
+        nodes AS (
+          SELECT d, p, min(q) AS q, min(c) AS c, count(*) AS n, max(size) AS size,
+                 sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_last), '')) AS ends
+          FROM members GROUP BY d, p),
+        families AS (SELECT d - 1 AS d, q AS p, count(*) AS k FROM nodes WHERE d > 0 GROUP BY d, q),
+        sized AS (SELECT d, p, n, size, coalesce(k, 0) AS k FROM nodes LEFT JOIN families USING (d, p)),
+        below AS (
+          SELECT DISTINCT u.d AS d, u.p AS p, v.d AS vd, v.p AS vp FROM members u JOIN members v ON u.c = v.c AND v.d >= u.d),
+        sums AS (
+          SELECT below.d, below.p, count(*) FILTER (k = 0) AS leaves, sum((n - 1) * size) AS saved
+          FROM below JOIN sized ON sized.d = vd AND sized.p = vp GROUP BY ALL)
+        SELECT x.c AS conv_id, x.d AS depth, y.c AS parent_conv_id, x.n AS n_convs, sized.k AS n_children,
+               leaves AS n_leaves, saved::BIGINT AS saved_tokens, x.ends AS ends_sha256
+        FROM nodes x JOIN sized USING (d, p) JOIN sums USING (d, p) LEFT JOIN nodes y ON x.d > 0 AND y.d = x.d - 1 AND y.p = x.q""",
+    "op13_url_filters": """
+        WITH rests AS (
+          SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        parts AS (
+          SELECT page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+                 translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM rests),
+        rules(host, path, verdict) AS (
+          VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        best AS (
+          SELECT u.host, u.path, arg_max({'rule': r.host || r.path, 'verdict': verdict}, length(r.host || r.path)) AS found
+          FROM (SELECT DISTINCT host, path FROM parts) u JOIN rules r
+          ON starts_with(u.path, r.path) AND (u.host = r.host OR ends_with(u.host, '.' || r.host)) GROUP BY u.host, u.path)
+        SELECT page_id, host, path, found.rule AS rule, coalesce(found.verdict, 'allow') AS verdict
+        FROM parts LEFT JOIN best USING (host, path)""",
 }
