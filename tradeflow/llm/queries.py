@@ -108,6 +108,48 @@ ORACLE_SQL: dict[str, str] = {
         degrees AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
         SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
         FROM roots LEFT JOIN degrees USING (vec_id)""",
+    "op11_periodic_runs": r"""
+        WITH texts AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, doc_id::VARCHAR AS t FROM documents),
+        codes AS (
+          SELECT doc_id, ws, len(ws)::BIGINT AS n,
+                 list_transform(range(1, length(t) + 1), lambda i: ascii(substr(t, i::INT, 1))::BIGINT) AS t FROM texts),
+        crcs AS (
+          SELECT doc_id, ws, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, t),
+                 lambda crc, code: list_reduce(list_prepend(xor(crc, code), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                 lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) AS h FROM codes),
+        loops AS (
+          SELECT doc_id, ws, n, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a, (h // 10) % 8 AS g FROM crcs),
+        words AS (
+          SELECT doc_id, n, list_transform(range(n), lambda i: ws[(CASE WHEN i < a THEN i
+                 ELSE a + (i - a) % (1 + (n - a) // (3 + g)) END + 1)::INT]) AS ws FROM loops),
+        places AS (SELECT doc_id, n, unnest(ws) AS w, unnest(range(n)) AS i FROM words WHERE n >= 24),
+        pairs AS (
+          SELECT x.doc_id, x.i, y.i - x.i AS p FROM places x JOIN places y
+          ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND y.i - x.i <= x.n // 3),
+        islands AS (
+          SELECT doc_id, i, p, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM pairs),
+        stretches AS (
+          SELECT doc_id, p, min(i) AS start, count(*) + p AS length FROM islands GROUP BY doc_id, p, island
+          HAVING count(*) + p >= greatest(24, 3 * p)),
+        runs AS (
+          SELECT * FROM stretches s WHERE NOT EXISTS (
+            FROM stretches z WHERE z.doc_id = s.doc_id AND z.p < s.p AND s.p % z.p = 0
+            AND z.start <= s.start AND z.start + z.length >= s.start + s.length)),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start + p, start + length)) AS i FROM runs),
+        told AS (
+          SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || p || chr(10), '' ORDER BY start, p) AS listed
+          FROM runs GROUP BY doc_id),
+        best AS (
+          SELECT * FROM runs QUALIFY row_number() OVER (
+            PARTITION BY doc_id ORDER BY (length * 1000000000000) // p DESC, start, p) = 1),
+        kept AS (
+          SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length,
+               p::BIGINT AS period, (1000 * length // p)::BIGINT AS exponent_milli,
+               sha256(coalesce(listed, '')) AS runs_sha256,
+               sha256(CASE WHEN n < 24 THEN array_to_string(ws, ' ') ELSE coalesce(kept, '') END) AS collapsed_sha256
+        FROM words t LEFT JOIN told USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op12_prefix_trie": """
         WITH convs AS (
           SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s,
