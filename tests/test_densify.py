@@ -83,3 +83,24 @@ def test_lane(flows, rows):
     series = densify.lane_series(df, 528, 643).select("refMonth", "netWgt").collect()
     assert [tuple(r) for r in series] == [(1, 0.0), (2, 5.0), (3, 2.0)]
     assert rows(densify.lane_summary(df)) == [(528, 643, 3, 1), (528, 9, 3, 2)]
+
+
+def test_rows_outside_the_calendar_or_without_keys(flows, rows):
+    """A row without a reporter or a month, and a month 13, add no zeros and stay as they are."""
+    df = flows(
+        (2020, 1, 1, 8, 5.0), (2020, 2, 1, 9, 7.0), (None, 3, 1, 8, 1.0), (2020, None, 1, 8, 1.0), (2020, 13, 1, 8, 1.0),
+        (2020, 1, None, 8, 1.0), (2020, 2, None, 9, 1.0), (2020, 1, 1, None, 2.0),
+    )
+    assert rows(densify.zero_rows(df), *CELL) == [
+        (1, 2020, 1, 9, 0.0), (1, 2020, 2, 8, 0.0), (1, 2020, 2, None, 0.0),
+    ]
+    assert rows(densify.zero_fill_summary(df)) == [(8, 3, 11)]
+
+
+def test_facts_are_read_twice(spark, tmp_path, flows):
+    """Once for their rows and once for the states of lane-years, which both sides of the join share."""
+    flows((2020, 1, 1, 8, 5.0), (2020, 2, 1, 9, 7.0)).write.parquet(str(tmp_path / "facts"))
+    df = densify.zero_fill(spark.read.parquet(str(tmp_path / "facts")), attributes=())
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2 and "ReusedExchange" in plan

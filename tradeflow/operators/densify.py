@@ -1,52 +1,88 @@
 """Zero-fill: make silent cells explicit, without inventing data for unpublished months.
 
 A lane is one (reporter, partner). A reporter's lane has a zero in every month the reporter
-published something and the lane has no weight. Months are compared as sets: one row per
-lane carries the months it has, one row per reporter the months it published, and only the
-difference is expanded. The full reporter x month x partner grid is never built and the
-facts are not joined with it; the shuffles carry lanes, not cells. Both sets hold distinct
-calendar months, so their size is bounded by the calendar however many rows a lane has.
+published something and the lane has no weight. A lane's year is one number: a bit for each month it
+has a row in and, 32 places up, one for each month it has a weight in. Facts shrink to these numbers
+by bit_or, a state of fixed width that combines on the map side. The months a reporter published are
+the bit_or of its lanes' numbers, not another pass over the facts; what is silent is one `and not` a
+year, and only its bits are expanded. The reporter x month x partner grid is never built and the facts
+are not joined with it; the shuffles carry lane-years, not cells. A lane's years, and a reporter's, are
+listed side by side: as many as the calendar has.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.functions import month_index
-
 PARTNER_ATTRIBUTES = ("reporterName", "partnerName", "iso2", "iso3", "is_special_partner")
 
+# Bits of a lane's year: months 1 to 12 with a row from bit 0 on, with a weight from this one on.
+WEIGHED = 32
+MONTHS = 0xFFF
+
+
+def _bits(null_is_present: bool) -> Column:
+    """The bits a row sets; NULL, which sets none, for a row outside the calendar."""
+    place = F.col("refMonth") - 1
+    seen = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    weighed = F.call_function("shiftleft", F.lit(1).cast("long"), place + WEIGHED)
+    if not null_is_present:
+        weighed = F.when(F.col("netWgt").isNotNull(), weighed).otherwise(F.lit(0).cast("long"))
+    dated = F.col("refYear").isNotNull() & F.col("refMonth").between(1, 12)
+    return F.when(dated, seen.bitwiseOR(weighed))
+
+
+def _lane_years(flows: DataFrame, by: Sequence[str], null_is_present: bool, *more: Column) -> DataFrame:
+    return flows.groupBy(*by, "partnerCode", "refYear").agg(F.bit_or(_bits(null_is_present)).alias("bits"), *more)
+
+
+def _published(lane_years: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per reporter the list of its years, each with the months it published."""
+    months = F.bit_or("bits").bitwiseAND(F.lit(MONTHS).cast("long"))
+    years = lane_years.filter("bits IS NOT NULL").groupBy(*by, "refYear").agg(months.alias("months"))
+    return years.groupBy(*by).agg(F.collect_list(F.struct("refYear", "months")).alias("published"))
 
-def _published(flows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Months each reporter has published, as one array per reporter."""
-    return flows.groupBy(*by).agg(F.collect_set(month_index()).alias("published"))
+
+def _silent(year: Column) -> Column:
+    """Months of a published year that the lane has no weight in, as bits."""
+    has = F.shiftrightunsigned(F.coalesce(F.try_element_at("own_years", year["refYear"]), F.lit(0).cast("long")), WEIGHED)
+    return year["months"].bitwiseAND(F.bitwise_not(has))
 
 
 def _lanes(
-    flows: DataFrame, keys: Sequence[str], attributes: Sequence[str], null_is_present: bool
+    flows: DataFrame, keys: Sequence[str], attributes: Sequence[str], null_is_present: bool, counted: bool = False
 ) -> DataFrame:
-    """One row per lane: its row count, its attributes and the array of its silent months."""
+    """One row per lane: its attributes, own_years (its bits by year) and its reporter's published years,
+    and n_rows if counted.
+    """
     by = [*keys, "reporterCode"]
-    present = month_index()
-    if not null_is_present:
-        present = F.when(F.col("netWgt").isNotNull(), present)
-    lanes = flows.groupBy(*by, "partnerCode").agg(
-        F.count("*").alias("n_rows"),
-        F.collect_set(present).alias("present"),
+    more, gathered = [], []
+    if counted:
+        more.append(F.count("*").alias("n_rows"))
+        gathered.append(F.sum("n_rows").alias("n_rows"))
+    if attributes:
         # All attributes of one row: a partner spelt in two ways keeps name and code together.
-        *([F.max(F.struct(*attributes)).alias("own")] if attributes else []),
+        more.append(F.max(F.struct(*attributes)).alias("own"))
+        gathered.append(F.max("own").alias("own"))
+    years = _lane_years(flows, by, null_is_present, *more)
+    dated = F.when(F.col("bits").isNotNull(), F.struct("refYear", "bits"))
+    lanes = years.groupBy(*by, "partnerCode").agg(
+        F.map_from_entries(F.collect_list(dated)).alias("own_years"), *gathered
     )
     if attributes:
         lanes = lanes.select("*", "own.*").drop("own")
-    silent = F.array_except("published", "present")
-    return (
-        lanes.join(_published(flows, by), by, "left")
-        .withColumn("silent", silent)
-        .drop("published", "present")
-    )
+    # A null-safe join states no filter on its sides: both then begin with the same shuffled lane-years,
+    # and Spark reads the facts for them once. Rows without a reporter, or a key, get no zeros.
+    published = _published(_lane_years(flows, by, null_is_present), by)
+    published = published.select(*[F.col(c).alias(f"_{c}") for c in by], "published")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in by])
+    joined = lanes.join(published, reduce(Column.__and__, same), "left")
+    return joined.withColumn("published", F.when(known, F.col("published"))).drop(*[f"_{c}" for c in by])
 
 
 def zero_rows(
@@ -59,17 +95,16 @@ def zero_rows(
 
     A row without a weight does not count as present unless null_is_present.
     """
-    cells = _lanes(flows, keys, attributes, null_is_present).withColumn(
-        "month", F.explode("silent")
-    )
-    return cells.select(
-        *keys,
-        F.expr("month div 12").cast("int").alias("refYear"),
-        (F.col("month") % 12 + 1).cast("int").alias("refMonth"),
-        "reporterCode",
-        "partnerCode",
-        *attributes,
-        F.lit(0.0).alias("netWgt"),
+    def cells(year: Column) -> Column:
+        silent = _silent(year)
+        bit = lambda m: F.call_function("shiftright", silent, m - 1).bitwiseAND(F.lit(1).cast("long")) == 1
+        months = F.filter(F.sequence(F.lit(1), F.lit(12)), bit)
+        return F.transform(months, lambda m: F.struct(year["refYear"].alias("refYear"), m.alias("refMonth")))
+
+    listed = F.flatten(F.transform("published", cells))
+    lanes = _lanes(flows, keys, attributes, null_is_present).withColumn("cell", F.explode(listed))
+    return lanes.select(
+        *keys, "cell.refYear", "cell.refMonth", "reporterCode", "partnerCode", *attributes, F.lit(0.0).alias("netWgt")
     )
 
 
@@ -89,9 +124,12 @@ def zero_fill(
 
 def zero_fill_summary(flows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Rows before, added and after, counted per lane without expanding the added rows."""
-    n_silent = F.coalesce(F.size("silent"), F.lit(0)).cast("long")
+    def add(total: Column, year: Column) -> Column:
+        return total + F.bit_count(_silent(year))
+
+    n_silent = F.aggregate(F.coalesce("published", F.array()), F.lit(0), add).cast("long")
     sums = (
-        _lanes(flows, keys, attributes=(), null_is_present=False)
+        _lanes(flows, keys, attributes=(), null_is_present=False, counted=True)
         .groupBy(*keys)
         .agg(F.sum("n_rows").alias("n_before"), F.sum(n_silent).alias("n_added"))
     )
