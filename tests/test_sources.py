@@ -89,6 +89,83 @@ def test_ingest_sees_replaced_emptied_and_deleted_files(ingested, folder):
     assert ingested() == []
 
 
+def test_ingest_sees_that_the_last_file_is_gone(ingested, folder):
+    ingested()
+    for file in folder.glob("comtrade_*.json"):
+        file.unlink()
+    assert ingested() == [] and ingested() == []
+    land(folder, "BEL", 2020, {"netWgt": 1.0})
+    assert ingested() == [(2020, 1, 1.0)]
+
+
+def test_ingest_of_nothing(ingested, folder):
+    for file in folder.glob("comtrade_*.json"):
+        file.unlink()
+    assert ingested() == []
+
+
+def test_manifest_grows_by_what_changed(spark, ingested, folder, tmp_path):
+    for year in range(2010, 2030):
+        land(folder, "FRA", year, {"refMonth": 3})
+    ingested()
+    manifest = str(tmp_path / "manifest")
+    log = ingest._log(spark, manifest)
+    assert ingest.position(spark, manifest) == 1
+    land(folder, "FRA", 2015, {"refMonth": 4})
+    ingested()
+    ingested()  # nothing new: no entry
+    assert ingest.position(spark, manifest) == 2
+    change = ingest._rows(spark, manifest, [log.last()[1]["change"]]).collect()
+    assert [(r.iso3, r.year, r.gone) for r in change] == [("FRA", 2015, False)]
+    since = ingest.changed_since(spark, manifest, 1).collect()
+    assert [tuple(r) for r in since] == [("FRA", 2015)]
+    assert ingest.changed_since(spark, manifest, 2).count() == 0
+
+
+def test_base_compaction_and_vacuum(spark, ingested, folder, rows, tmp_path, monkeypatch):
+    """Many runs: the manifest is based anew, raw is compacted, and what is read stays the same."""
+    monkeypatch.setattr(ingest, "CHECKPOINT_EVERY", 3)
+    monkeypatch.setattr(ingest, "MOST_RUNS", 4)
+    table, manifest = str(tmp_path / "raw"), str(tmp_path / "manifest")
+    expected = {(2020, 1, 2.5), (2020, 2, None)}
+    for year in range(2001, 2009):
+        land(folder, "FRA", year, {"refMonth": 3})
+        if year == 2006:
+            (folder / "comtrade_FRA_2002.json").unlink()
+            expected.discard((2002, 3, 2.5))
+        expected.add((year, 3, 2.5))
+        assert ingested() == sorted(expected, key=repr)
+    entry = ingest._log(spark, manifest).last()[1]
+    assert len(entry["changes"]) < 3 and len(entry["runs"]) <= 4
+    land(folder, "FRA", 2003, {"refMonth": 5})
+    ingested()
+    before = rows(ingest.read_raw(spark, table, manifest))
+    ingest.compact(spark, table, manifest)
+    assert rows(ingest.read_raw(spark, table, manifest)) == before
+    gone = ingest.vacuum(spark, table, manifest, keep=1)
+    assert gone and not any(os.path.exists(p) for p in gone)
+    assert rows(ingest.read_raw(spark, table, manifest)) == before
+    assert len([f for f in os.listdir(table) if f.startswith("run=")]) == 1
+    assert ingested() == sorted(map(lambda r: (r[0], r[1], r[5]), before), key=repr)
+    assert ingest.changed_since(spark, manifest, 1) is None
+
+
+def test_many_files_are_read_from_their_folder(spark, ingested, folder, monkeypatch):
+    monkeypatch.setattr(ingest, "MOST_PATHS", 1)
+    assert ingested() == FIRST
+    land(folder, "FRA", 2021, {"refMonth": 3})
+    land(folder, "DEU", 2021, {"refMonth": 4})
+    assert ingested() == [*FIRST, (2021, 3, 2.5), (2021, 4, 2.5)]
+
+
+def test_nested_files_are_found_alike(spark, ingested, folder, rows):
+    (folder / "more").mkdir()
+    land(folder / "more", "FRA", 2021, {"refMonth": 3})
+    assert ingested() == [*FIRST, (2021, 3, 2.5)]
+    envelopes = landing.read_envelopes(spark, str(folder))
+    assert ("FRA", 2021) in rows(envelopes, "iso3", "year")
+
+
 def test_ingest_takes_late_files_with_old_times(ingested, folder):
     ingested()
     land(folder, "FRA", 2021, {"refMonth": 3})
@@ -101,7 +178,7 @@ def test_killed_ingest_is_repeated_as_a_whole(spark, ingested, folder, monkeypat
     ingested()
     land(folder, "FRA", 2021, {"refMonth": 3})
     with monkeypatch.context() as m:
-        m.setattr(ingest, "MANIFEST", None)  # lines are written, the manifest is not
+        m.setattr(ingest, "CHECKPOINT_EVERY", None)  # lines are written, the log entry is not
         with pytest.raises(Exception):  # noqa: B017, PT011
             ingested()
     assert ingested() == [*FIRST, (2021, 3, 2.5)]
@@ -161,7 +238,7 @@ def test_replace_table(spark, flows, rows):
     assert stored.columns == first.columns and rows(stored) == rows(first)
     second = flows((2022, 1, 1, 9, 3.0))
     assert rows(tables.replace_table(second, "flows_t", ["refYear"])) == rows(second)
-    spark.sql("DROP TABLE flows_t")
+    spark.sql("DROP VIEW flows_t")
 
 
 def test_store_keeps_columns_and_prunes(spark, flows, tmp_path, rows):

@@ -99,3 +99,23 @@ def test_vacuum(spark, store, rows):
     assert len(gone) == 3 and not any(os.path.exists(p) for p in gone)
     assert rows(store.get("t", schema), "n") == [(3,)] and rows(store.get("u", schema), "n") == [(9,)]
     assert store.log.numbers() == [4, 5]
+
+
+def test_units_are_replaced_in_pieces(spark, store, rows, monkeypatch):
+    """New rows of some units; others, and rows without one, stay where they are."""
+    table = lambda *found: spark.createDataFrame(list(found), "unit int, v int")
+    schema = table().schema
+    store.put("t", table((1, 1), (2, 1), (None, 1), (3, 1)))
+    folder = store.pieces("t")[0]["folder"]
+    written = store.replace_units("t", table((1, 2), (1, 3)), "unit", [1, 9])
+    assert rows(written) == [(1, 2), (1, 3)]
+    assert rows(store.get("t", schema)) == [(1, 2), (1, 3), (2, 1), (3, 1), (None, 1)]
+    assert [p["folder"] for p in store.pieces("t")][0] == folder and len(store.pieces("t")) == 2
+    store.replace_units("t", table(), "unit", [2])  # a unit that has no rows any more
+    store.replace_units("t", table((1, 4)), "unit", [1])
+    assert rows(store.get("t", schema)) == [(1, 4), (3, 1), (None, 1)]
+    monkeypatch.setattr("tradeflow.plans.store.MOST_PIECES", 2)
+    store.replace_units("t", table((3, 5)), "unit", [3])
+    assert len(store.pieces("t")) == 1 and rows(store.get("t", schema)) == [(1, 4), (3, 5), (None, 1)]
+    store.vacuum(keep=1)
+    assert rows(store.get("t", schema)) == [(1, 4), (3, 5), (None, 1)]

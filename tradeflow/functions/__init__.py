@@ -7,10 +7,11 @@ from tradeflow.functions.columns import (
     until,
     year_month_between,
 )
-from tradeflow.functions.sizing import checked_broadcast
+from tradeflow.functions.sizing import checked_broadcast, counts_of
 
 __all__ = [
     "checked_broadcast",
+    "counts_of",
     "month_index",
     "month_start",
     "pct",

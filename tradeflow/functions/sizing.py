@@ -1,8 +1,9 @@
-"""Broadcast only what has been counted."""
+"""Broadcast only what has been counted; counts taken on the way of a write."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Code lists (countries, reporters) have a few hundred rows; this leaves ample room
@@ -18,3 +19,14 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     splits hot keys. Pass a stored table instead to save the count.
     """
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def counts_of(seen: Observation) -> dict | None:
+    """What was observed by a job that has run; None if its result was empty.
+
+    Adaptive execution replaces an empty result, and the observed step with it, once it knows.
+    """
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return None

@@ -7,6 +7,10 @@ Each version of a table is a folder of its own, and a log entry names the folder
 counts. put() writes the folder, then the entry; inside a change() the entry comes at the end, so
 several tables switch together or, if the job dies, none does. A DataFrame of an earlier version stays
 readable until vacuum() removes what the last entries no longer name.
+
+A table whose rows belong to units, as flows belong to reporters, can be kept up to date in pieces:
+replace_units() writes the new rows of some units beside the old ones, and the entry says which units each
+older piece has lost. Reading skips those, by a filter that reaches the scan.
 """
 
 from __future__ import annotations
@@ -15,8 +19,10 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeflow.plans.log import Log
@@ -24,8 +30,12 @@ from tradeflow.sources.tables import read_parquet, write_parquet
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 LOG = "_log"
+MOST_PIECES = 8
+
 
-_local_folders: dict[str, str] = {}
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tradeflow-")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,10 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SHARED_FOLDER} to a folder that all executors share")
-    session = spark.sparkContext.applicationId
-    if session not in _local_folders:
-        _local_folders[session] = tempfile.mkdtemp(prefix="tradeflow-")
-    return _local_folders[session]
+    return _local_folder()
 
 
 class Store:
@@ -71,7 +78,7 @@ class Store:
         return f"{self.root}/{name}"
 
     def state(self) -> dict:
-        """What the log, or the change under way, says: tables (folder by name) and notes."""
+        """What the log, or the change under way, says: tables (pieces by name) and notes."""
         found = self.log.last()[1] if self._changing is None else self._changing
         return {"tables": {}, "notes": {}, **found}
 
@@ -102,23 +109,54 @@ class Store:
     def has(self, name: str) -> bool:
         return name in self.state()["tables"]
 
-    def get(self, name: str, schema: T.StructType, version: int | None = None) -> DataFrame:
-        """The table as it counts now, or as of an entry of the log."""
+    def pieces(self, name: str, version: int | None = None) -> list[dict]:
+        """folder, unit and lost units of each piece of a table, oldest first."""
         state = self.state() if version is None else self.log.entry(version)
-        folder = state["tables"].get(name)
-        if folder is None:
+        if name not in state["tables"]:
             raise KeyError(f"no table {name} in {self.root}")
-        path = f"{self.path(name)}/{folder}"
-        return read_parquet(self.spark, path, schema).select(schema.fieldNames())
+        return state["tables"][name]
 
-    def put(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write df as the next version and return it, with the columns and types of df."""
+    def _read(self, name: str, piece: dict, schema: T.StructType) -> DataFrame:
+        df = read_parquet(self.spark, f"{self.path(name)}/{piece['folder']}", schema).select(schema.fieldNames())
+        if piece["lost"]:
+            unit = F.col(piece["unit"])
+            df = df.filter(unit.isNull() | ~unit.isin(piece["lost"]))
+        return df
+
+    def get(self, name: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+        """The table as it counts now, or as of an entry of the log."""
+        found = [self._read(name, piece, schema) for piece in self.pieces(name, version)]
+        return reduce(DataFrame.unionByName, found)
+
+    def _write(self, name: str, df: DataFrame, partition_by: Sequence[str], unit: str | None = None) -> dict:
         folder = f"v-{uuid.uuid4().hex}"
         write_parquet(df, f"{self.path(name)}/{folder}", partition_by)
+        return {"folder": folder, "unit": unit, "lost": []}
+
+    def put(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Write df as the next version and return it, with the columns and types of df."""
+        piece = self._write(name, df, partition_by)
         with self.change():
-            self._changing["tables"][name] = folder
+            self._changing["tables"][name] = [piece]
             return self.get(name, df.schema)
 
+    def replace_units(
+        self, name: str, df: DataFrame, unit: str, units: Sequence, partition_by: Sequence[str] = ()
+    ) -> DataFrame:
+        """Write df, the rows of the given units, in place of all that these units had; returned is df as written.
+
+        The units are values of the column, not null, few enough for a filter. A table of more than
+        MOST_PIECES pieces is then written anew in one.
+        """
+        fresh = self._write(name, df, partition_by, unit)
+        with self.change():
+            older = [{**p, "unit": unit, "lost": sorted({*p["lost"], *units})} for p in self.pieces(name)]
+            self._changing["tables"][name] = [*older, fresh]
+            written = self._read(name, fresh, df.schema)
+            if len(older) >= MOST_PIECES:
+                self.put(name, self.get(name, df.schema), partition_by)
+            return written
+
     def vacuum(self, keep: int = 2) -> list[str]:
         """Remove versions that none of the last `keep` entries names; their paths.
 
@@ -131,7 +169,8 @@ class Store:
             f"{self.path(name)}/{folder}"
             for name in sorted(names)
             for folder in self.log.folders(self.path(name))
-            if folder.startswith("v-") and all(tables.get(name) != folder for tables in kept)
+            if folder.startswith("v-")
+            and not any(piece["folder"] == folder for tables in kept for piece in tables.get(name, []))
         ]
         for path in gone:
             self.log.remove(path)

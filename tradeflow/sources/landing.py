@@ -79,6 +79,7 @@ def read_envelopes(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", _LAYOUTS[layout][0])
+        .option("recursiveFileLookup", layout == "named")
     )
     files = (reader if base is None else reader.option("basePath", base)).json(path)
     if layout == "partitioned":

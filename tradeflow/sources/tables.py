@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,14 +43,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Create or replace a managed table and return it."""
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name).select(df.columns)
+    """Create or replace a table of the catalog and return it.
+
+    The rows go to a folder of their own in the warehouse and the name is then turned to it, in one step:
+    until the end, and if the write fails, the name shows the old rows. Folders turned away from stay
+    for readers that are still at work.
+    """
+    spark = df.sparkSession
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+    write_parquet(df, folder, partition_by)
+    columns = ", ".join(f"CAST(`{c}` AS {dtype}) AS `{c}`" for c, dtype in df.dtypes)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{folder}`")
+    return spark.table(name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
