@@ -6,7 +6,9 @@ import pytest
 
 from tradeflow import study
 from tradeflow.operators.quality import DataQualityError
+from tradeflow.plans import upkeep
 from tradeflow.plans.store import Store
+from tradeflow.sources.envelopes import QUARANTINE
 
 RUSSIA, INDIA, BUNKERS, BELGIUM = 643, 699, 837, 56
 
@@ -176,3 +178,133 @@ def test_two_commodities_at_once(spark, inputs, rows):
     study.main(["export", "--store", store.root, "--out", str(root / "out"), "--keys", "cmdCode"])
     header = next((root / "out" / "marts" / "flows").glob("*.csv")).read_text().splitlines()[0]
     assert header.startswith("cmdCode,refYear,") and header.endswith(",Date")
+
+
+TABLES = {
+    "flows": study.flows_schema(), "zone": study.ZONE, "extra_zone_monthly": study.rollup_schema(),
+    "origin_cells": upkeep.cells_schema(),
+}
+
+
+def same_as_a_full_build(spark, root, rows):
+    """The tables of the store that was kept up to date, against those of a new one."""
+    kept = Store(spark, str(root / "store"))
+    fresh = Store(spark, str(root / f"fresh-{len(list(root.iterdir()))}"))
+    study.build_tables(spark, str(root / "landing"), str(root / "partners.json"), str(root / "prices"), fresh)
+    for name, schema in TABLES.items():
+        assert rows(kept.get(name, schema)) == rows(fresh.get(name, schema)), name
+
+
+def land_many(land):
+    """Enough reporters that one of them is a small part."""
+    for code, iso3 in ((40, "AUT"), (251, "FRA"), (276, "DEU"), (724, "ESP")):
+        land(iso3, 2022, line(2022, 11, code, RUSSIA, 3_000.1), line(2022, 12, code, INDIA, None))
+
+
+def test_one_relanded_file_rewrites_one_reporter(spark, inputs, rows):
+    root, land = inputs
+    land_many(land)
+    store = build(spark, root)
+    whole = store.pieces("flows")
+    assert len(whole) == 1
+    land("FRA", 2023, line(2023, 1, 251, BELGIUM, 7.7), line(2023, 2, 251, INDIA, 0.1))
+    store = build(spark, root)
+    pieces = store.pieces("flows")
+    assert pieces[0]["folder"] == whole[0]["folder"] and pieces[0]["lost"] == [251] and len(pieces) == 2
+    piece = spark.read.parquet(f"{store.path('flows')}/{pieces[1]['folder']}")
+    assert {r[0] for r in piece.select("reporterCode").collect()} == {251}
+    same_as_a_full_build(spark, root, rows)
+
+    version = store.log.last()[0]
+    build(spark, root)  # nothing new: no table but prices is written
+    assert store.pieces("flows") == pieces and store.pieces("origin_cells") == store.pieces("origin_cells", version)
+
+    # A reporter leaves the zone, so its country counts as an origin of the others from now on.
+    (root / "landing" / "comtrade_BEL_2023.json").unlink()
+    store = build(spark, root)
+    assert 56 not in [r[0] for r in store.get("zone", study.ZONE).collect()]
+    assert ("Belgium", 7.7) in rows(store.get("extra_zone_monthly", study.rollup_schema()), "partnerName", "netWgt")
+    same_as_a_full_build(spark, root, rows)
+
+    before = {name: rows(store.get(name, schema)) for name, schema in TABLES.items()}
+    study.main(["compact", "--store", store.root])
+    assert len(store.pieces("flows")) == 1
+    assert {name: rows(store.get(name, schema)) for name, schema in TABLES.items()} == before
+    land("ESP", 2022)
+    build(spark, root)
+    same_as_a_full_build(spark, root, rows)
+
+
+def test_another_partner_list_builds_anew(spark, inputs, rows):
+    root, land = inputs
+    land_many(land)
+    build(spark, root)
+    listed = json.loads((root / "partners.json").read_text())
+    listed["results"][0]["PartnerDesc"] = "Russia"
+    (root / "partners.json").write_text(json.dumps(listed))
+    store = build(spark, root)
+    assert len(store.pieces("flows")) == 1
+    same_as_a_full_build(spark, root, rows)
+
+
+@pytest.mark.parametrize("step", ["origin_month_of", "origin_cells"])
+def test_a_build_that_dies_leaves_all_tables(spark, inputs, rows, monkeypatch, step):
+    root, land = inputs
+    land_many(land)
+    store = build(spark, root)
+    before = {name: rows(store.get(name, schema)) for name, schema in TABLES.items()}
+    land("FRA", 2023, line(2023, 1, 251, BELGIUM, 7.7))
+    with monkeypatch.context() as m:
+        m.setattr(upkeep, step, None)
+        with pytest.raises(TypeError):
+            build(spark, root)
+    assert {name: rows(store.get(name, schema)) for name, schema in TABLES.items()} == before
+    build(spark, root)
+    same_as_a_full_build(spark, root, rows)
+
+
+def test_a_refused_line_leaves_all_tables(spark, inputs, rows):
+    root, land = inputs
+    land_many(land)
+    store = build(spark, root)
+    before = rows(store.get("flows", study.flows_schema()))
+    land("FRA", 2023, line(2023, 1, 251, 999, 1.0))
+    with pytest.raises(DataQualityError, match="unmatched codes.*partnerCode.*999"):
+        build(spark, root)
+    land("FRA", 2023, line(2023, 1, 251, RUSSIA, 1.0, flowCode="X"))
+    with pytest.raises(DataQualityError, match="constant columns.*flowCode.*X"):
+        build(spark, root)
+    assert rows(store.get("flows", study.flows_schema())) == before
+    land("FRA", 2023)
+    build(spark, root)
+    same_as_a_full_build(spark, root, rows)
+
+
+@pytest.mark.parametrize(
+    ("file", "text"),
+    [
+        ("prices/eia_brent_usd_bbl.json", '{"response": {"data": [{"period": "2020-05", "value": "70.5"}]}}'),
+        ("prices/eia_brent_usd_bbl.json", '{"response": {"data": [{"period": "2020-'),
+        ("partners.json", '{"results": [{"PartnerCode": "4"}]}'),
+        ("partners.json", '{"results": [{"Partner'),
+    ],
+)
+def test_unreadable_prices_and_partners_are_named(spark, inputs, file, text):
+    root, _ = inputs
+    (root / file).write_text(text)
+    with pytest.raises(DataQualityError, match=f"unreadable (price files|partner list).*{file.split('/')[-1]}"):
+        build(spark, root)
+    found = Store(spark, str(root / "store")).get("quarantine", QUARANTINE).collect()
+    assert [(r.path.split("/")[-1], r.record) for r in found] == [(file.split("/")[-1], text)]
+
+
+def test_a_build_reads_raw_twice(spark, inputs):
+    root, land = inputs
+    land_many(land)
+    runs = spark._jsparkSession.sharedState().statusStore()
+    before = runs.executionsCount()
+    build(spark, root)
+    found = runs.executionsList()
+    plans = [found.apply(i).physicalPlanDescription() for i in range(before, found.size())]
+    scans = [p.split("== Initial Plan ==")[0].count("/store/raw]") for p in plans]
+    assert sum(scans) == 2

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeflow.schemas import FLOW_ENVELOPE, INT, STRING
+from tradeflow.sources.envelopes import read_json
 
 # How keys are spelt in a landed path.
 NAMED_GLOB = "comtrade_*.json"
@@ -32,27 +33,6 @@ PARTITIONED_KEYS = r"iso3=([A-Z0-9]{3})/year=([0-9]{4})/"
 _LAYOUTS = {"named": (NAMED_GLOB, NAMED_KEYS), "partitioned": (PARTITIONED_GLOB, PARTITIONED_KEYS)}
 
 
-CORRUPT = "_corrupt_record"
-
-
-def envelope_schema(layout: str) -> T.StructType:
-    """Schema to read with; the partitioned layout takes its keys from the folder names."""
-    fields = [*FLOW_ENVELOPE.fields, T.StructField(CORRUPT, STRING)]
-    if layout == "named":
-        return T.StructType(fields)
-    return T.StructType([*fields, T.StructField("iso3", STRING), T.StructField("year", INT)])
-
-
-def readable(df: DataFrame, array: str) -> DataFrame:
-    """df with a flag `unreadable`, and the array null where it is set.
-
-    Spark does not answer a query on the corrupt record alone, so the flag looks at the array too.
-    """
-    bad = F.col(CORRUPT).isNotNull() & (F.coalesce(F.size(array), F.lit(0)) >= -1)
-    flagged = df.withColumn("unreadable", bad)
-    return flagged.withColumn(array, F.when(~F.col("unreadable"), F.col(array))).drop(CORRUPT)
-
-
 def path_keys(path: Column, layout: str) -> list[Column]:
     pattern = _LAYOUTS[layout][1]
     return [
@@ -61,32 +41,38 @@ def path_keys(path: Column, layout: str) -> list[Column]:
     ]
 
 
-def read_envelopes(
+def envelope_files(
     spark: SparkSession,
     path: str | list[str],
     layout: str = "named",
     multi_line: bool = True,
     base: str | None = None,
 ) -> DataFrame:
-    """One row per envelope: iso3, year, data, unreadable.
+    """One row per envelope: iso3, year, data, unreadable, path, record.
 
     Pass multi_line=False if envelopes are written one per line, so big files can be split, and
     the landing folder as base if path lists some of its files.
     """
-    reader = (
-        spark.read.schema(envelope_schema(layout))
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", _LAYOUTS[layout][0])
-        .option("recursiveFileLookup", layout == "named")
-    )
-    files = (reader if base is None else reader.option("basePath", base)).json(path)
-    if layout == "partitioned":
-        return readable(files, "data").select("iso3", "year", "data", "unreadable")
-    keys = path_keys(F.col("_metadata.file_name"), layout)
-    named = files.select(*keys, "data", CORRUPT)
-    return readable(named, "data").select("iso3", "year", "data", "unreadable")
+    options = {"pathGlobFilter": _LAYOUTS[layout][0], "recursiveFileLookup": layout == "named"}
+    if base is not None:
+        options["basePath"] = base
+    fields = FLOW_ENVELOPE.fields
+    if layout == "partitioned":  # keys are read off the folder names
+        fields = [*fields, T.StructField("iso3", STRING), T.StructField("year", INT)]
+    files = read_json(spark, path, T.StructType(fields), "data", multi_line, options)
+    keys = ["iso3", "year"] if layout == "partitioned" else path_keys(F.col("path"), layout)
+    return files.select(*keys, F.col("rows").alias("data"), "unreadable", "path", "record")
+
+
+def read_envelopes(
+    spark: SparkSession,
+    path: str | list[str],
+    layout: str = "named",
+    multi_line: bool = True,
+    base: str | None = None,
+) -> DataFrame:
+    """One row per envelope: iso3, year, data, unreadable. See envelope_files."""
+    return envelope_files(spark, path, layout, multi_line, base).select("iso3", "year", "data", "unreadable")
 
 
 def stack_raw(envelopes: DataFrame) -> DataFrame:

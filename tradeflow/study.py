@@ -3,9 +3,11 @@
     spark-submit -m tradeflow.study build  --landing L --partners P --prices E --store S
     spark-submit -m tradeflow.study check  --landing L --store S --out O
     spark-submit -m tradeflow.study export --store S --out O
+    spark-submit -m tradeflow.study compact --store S
 
-build may be run again after files have landed, changed or gone: it ingests those reporter-years alone
-and rewrites the tables derived from them. check writes the completeness report, its exceptions, the
+build may be run again after files have landed, changed or gone: it ingests those reporter-years alone,
+computes the flows of those reporters and corrects the rollup by what they had and have. compact merges
+what many builds have left and removes what no longer counts. check writes the completeness report, its exceptions, the
 gap list, the reconciliation with World and the zero-fill figures. --layout partitioned and --lines
 read large reporters as many envelopes, one a line. --keys cmdCode,flowCode runs the same study for every commodity and
 flow direction at once.
@@ -31,34 +33,57 @@ from tradeflow.operators import (
     zone,
 )
 from tradeflow.operators.clean import split_detail, totals_only
-from tradeflow.operators.enrich import check_dimensions
-from tradeflow.plans import build, marts
+from tradeflow.plans import marts, upkeep
 from tradeflow.plans.store import Store
-from tradeflow.schemas import DOUBLE, FLOWS, INT, RAW_RECORD
+from tradeflow.plans.upkeep import ZONE, flows_schema, rollup_schema
+from tradeflow.schemas import DOUBLE, INT
 from tradeflow.session import SETTINGS
 from tradeflow.sources import landing, reference, tables
+from tradeflow.sources.envelopes import quarantined
 from tradeflow.sources.fixed_values import CONSTANT_CODES, PRICE_SERIES, YEARS
 from tradeflow.streaming import ingest
 
 START_DATE = f"{prices.START_PERIOD}-01"
-ZONE = T.StructType([T.StructField("reporterCode", INT)])
-
+PRICES = T.StructType(
+    [T.StructField(s, DOUBLE) for s in PRICE_SERIES]
+    + [T.StructField(c, INT) for c in ("refYear", "refMonth")]
+)
 
-ORIGIN_MONTH = ("refYear", "refMonth", "partnerName", "netWgt")
 
+# From this share of the reporters on a build computes all of them.
+MOST_REFRESHED = 0.5
+# A list of reporters has a few hundred codes; more than this are not listed in the driver.
+MOST_CODES = 10_000
 
-def flows_schema(keys: Sequence[str] = ()) -> T.StructType:
-    return T.StructType([*(RAW_RECORD[k] for k in keys), *FLOWS.fields])
 
+def refuse_unreadable(store: Store, envelopes: DataFrame, source: str) -> None:
+    """Put what could not be read into the table quarantine, and raise by name, if there is any."""
+    found = quarantined(envelopes, source)
+    if found.limit(1).collect():
+        quality.enforce(store.put("quarantine", found), f"unreadable {source}")
 
-def rollup_schema(keys: Sequence[str] = ()) -> T.StructType:
-    return T.StructType([*(RAW_RECORD[k] for k in keys), *(FLOWS[c] for c in ORIGIN_MONTH)])
 
+def changed_reporters(
+    spark: SparkSession, store: Store, partners: DataFrame, keys: Sequence[str]
+) -> list[int] | None:
+    """Codes of the reporters whose lines have changed since the flows were built.
 
-PRICES = T.StructType(
-    [T.StructField(s, DOUBLE) for s in PRICE_SERIES]
-    + [T.StructField(c, INT) for c in ("refYear", "refMonth")]
-)
+    None if all have to be computed: on a first build, with other keys or partners than before, if the
+    changes are no longer known, or if a line has no reporter.
+    """
+    built = store.state()["notes"].get("flows")
+    if built is None or built["keys"] != list(keys):
+        return None
+    before = store.get("partners", partners.schema)
+    if partners.exceptAll(before).limit(1).collect() or before.exceptAll(partners).limit(1).collect():
+        return None
+    changed = ingest.changed_since(spark, store.path("raw-manifest"), built["ingested"])
+    if changed is None:
+        return None
+    lines = ingest.lines_of(spark, store.path("raw"), changed)
+    # A short code list, whatever the number of lines.
+    codes = [r[0] for r in lines.select("reporterCode").distinct().limit(MOST_CODES + 1).collect()]
+    return None if None in codes or len(codes) > MOST_CODES else sorted(codes)
 
 
 def build_tables(
@@ -71,32 +96,49 @@ def build_tables(
     layout: str = "named",
     multi_line: bool = True,
 ) -> None:
-    """Ingest what is new, check it, and write the tables flows, zone, prices and the rollup
-    extra_zone_monthly, which most analyses read in place of the flows.
+    """Ingest what is new, check it, and bring the tables flows, zone, prices, origin_cells and the rollup
+    extra_zone_monthly, which most analyses read in place of the flows, up to date.
+
+    Reporters without changed files keep their rows where they are. All tables switch together at the
+    end; if a check or a step fails, readers keep the ones before.
     """
     raw_table, manifest = store.path("raw"), store.path("raw-manifest")
     ingest.ingest_new_files(spark, landing_dir, raw_table, manifest, layout, multi_line)
+    ingested = ingest.position(spark, manifest)
     raw = ingest.read_raw(spark, raw_table, manifest)
     constant = {name: codes for name, codes in CONSTANT_CODES.items() if name not in keys}
-    if constant:
-        quality.enforce(quality.constant_violations(raw, constant), "constant columns")
+    refuse_unreadable(store, reference.partner_files(spark, partner_file), "partner list")
+    refuse_unreadable(store, reference.price_files(spark, price_dir), "price files")
 
-    partners = store.put(
-        "partners", dims.partner_dim(reference.read_partner_areas(spark, partner_file))
-    )
     reporters = tables.reporters(spark)
-    check_dimensions(build.detail(raw, keys), partners, reporters)
-    flows = store.put("flows", build.flows(raw, partners, reporters, keys), ["refYear"])
-    members = store.put("zone", zone.zone_of(flows))
-    rollup = shares.origin_month(zone.extra_zone_countries(flows, members), keys)
-    store.put("extra_zone_monthly", rollup, ["refYear"])
-
-    points = reference.read_price_series(spark, price_dir)
-    quality.enforce(quality.duplicate_keys(points, ["series", "period"]), "repeated prices")
-    tidy = store.put("prices", prices.tidy_prices(points))
-    months = dims.date_dim(spark, START_DATE, f"{prices.END_PERIOD}-01")
-    quality.enforce(quality.absent_months(tidy, months), "months without prices")
-    quality.enforce(quality.missing_prices(tidy, PRICE_SERIES), "missing prices")
+    listed = dims.partner_dim(reference.read_partner_areas(spark, partner_file))
+    codes = changed_reporters(spark, store, listed, keys)
+    with store.change():
+        partners = listed if codes is not None else store.put("partners", listed)
+        if codes is None or len(codes) > MOST_REFRESHED * reporters.count():
+            upkeep.rebuild(store, raw, partners, reporters, keys, constant)
+        elif codes:
+            upkeep.refresh(store, raw, partners, reporters, codes, keys, constant)
+        store.note("flows", {"ingested": ingested, "keys": list(keys)})
+
+        points = reference.read_price_series(spark, price_dir)
+        quality.enforce(quality.duplicate_keys(points, ["series", "period"]), "repeated prices")
+        tidy = store.put("prices", prices.tidy_prices(points))
+        months = dims.date_dim(spark, START_DATE, f"{prices.END_PERIOD}-01")
+        quality.enforce(quality.absent_months(tidy, months), "months without prices")
+        quality.enforce(quality.missing_prices(tidy, PRICE_SERIES), "missing prices")
+
+
+def compact(spark: SparkSession, store: Store, keys: Sequence[str] = (), keep: int = 2) -> list[str]:
+    """Merge the runs of raw and the pieces of flows, and remove folders that no longer count; their paths.
+
+    For a time when no build or analysis is under way.
+    """
+    raw_table, manifest = store.path("raw"), store.path("raw-manifest")
+    ingest.compact(spark, raw_table, manifest)
+    if store.has("flows") and len(store.pieces("flows")) > 1:
+        store.put("flows", store.get("flows", flows_schema(keys)), ["refYear"])
+    return ingest.vacuum(spark, raw_table, manifest, keep) + store.vacuum(keep)
 
 
 def missing_files(
@@ -221,7 +263,9 @@ def main(argv: list[str] | None = None) -> None:
     export_step = steps.add_parser("export", help="write results and marts as CSV")
     for option in ("store", "out"):
         export_step.add_argument(f"--{option}", required=True)
-    for step in (build_step, check_step, export_step):
+    compact_step = steps.add_parser("compact", help="merge what builds have left, remove what no longer counts")
+    compact_step.add_argument("--store", required=True)
+    for step in (build_step, check_step, export_step, compact_step):
         step.add_argument("--keys", type=lambda text: text.split(","), default=[])
     args = parser.parse_args(argv)
 
@@ -234,6 +278,8 @@ def main(argv: list[str] | None = None) -> None:
         build_tables(
             spark, args.landing, args.partners, args.prices, store, args.keys, args.layout, not args.lines
         )
+    elif args.step == "compact":
+        compact(spark, store, args.keys)
     elif args.step == "check":
         reports = checks(spark, args.landing, store, args.keys, args.layout, not args.lines)
         marts.export(reports, f"{args.out}/checks", args.keys)
