@@ -25,9 +25,27 @@ def test_plan(spark, name):
     plan = physical(QUERIES[name](spark, SMALL))
     for word in FORBIDDEN:
         assert word not in plan, word
-    for single in re.finditer(r"Exchange SinglePartition", plan):
-        below = plan[single.end():]
-        assert re.search(r"Aggregate|TakeOrdered", below), "one task over unaggregated rows"
+    assert not single_tasks_over_rows(plan), "one task over unaggregated rows"
+
+
+def single_tasks_over_rows(plan):
+    """What lies below each exchange into one task, along the left side of joins, if no aggregate or top-n."""
+    lines = [re.sub(r"^[\s:|+-]*(\*\(\d+\) )?", "", line) for line in plan.splitlines()]
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            passed = ("Project", "Filter", "Sort ", "AQEShuffleRead", "ShuffleQueryStage", "Exchange", "InputAdapter", "WholeStage", "Window", "BroadcastHashJoin", "SortMergeJoin")
+            below = next((x for x in lines[i + 1 :] if not x.startswith(passed)), "")
+            if not re.match(r"\w*Aggregate|TakeOrdered|Range|LocalTableScan|ReusedExchange", below):
+                found.append(below)
+    return found
+
+
+def test_a_single_task_over_rows_is_found(spark):
+    rows = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    window = rows.selectExpr("row_number() OVER (ORDER BY l_orderkey) AS n", "l_suppkey")
+    assert single_tasks_over_rows(physical(window))
+    assert not single_tasks_over_rows(physical(rows.selectExpr("sum(l_quantity)")))
 
 
 def test_facts_are_shuffled_once_as_partial_sums(spark):

@@ -42,6 +42,10 @@ def test_known_figures(spark):
     assert QUERIES["special_share"](spark, MEDIUM).first().total_t == 311.291
     recon = QUERIES["world_recon"](spark, MEDIUM).first()
     assert (recon.n_reporter_months, recon.gap_pct, recon.n_zero_world) == (353, 0.0, 62)
+    flawed = QUERIES["world_recon_flawed"](spark, MEDIUM).first()
+    assert flawed.gap_pct > 5 and flawed.n_zero_world > recon.n_zero_world
+    assert QUERIES["world_recon_monthly_flawed"](spark, MEDIUM).filter("gap > 0").count() > 50
+    assert QUERIES["zero_fill_flawed"](spark, MEDIUM).filter("netWgt IS NULL").count() > 100
     tonnes = {r.confidence: r.tonnes for r in QUERIES["confidence_coverage"](spark, MEDIUM).collect()}
     assert tonnes == {"verified": 75.218, "verified_proxy_port": 59.403, "estimated": 67.289, "none": 35.585}
     assert QUERIES["market_share"](spark, MEDIUM).count() == 83 * 7

@@ -178,3 +178,18 @@ def test_shares_against_brute_force_with_a_hot_origin(flows, seed):
     for row in shares.coverage(df).collect():
         reached = sum(v for v in volume.values() if v >= volume[row.partnerName])
         assert row.cumulative_pct == pytest.approx(reached / total * 100)
+
+
+@pytest.mark.parametrize("keys", [[], ["cmdCode"]])
+def test_running_coverage_in_ranges(spark, flows, rows, keys):
+    """As coverage(), ties and all, over several ranges."""
+    facts = [(2020, m, 1, p, float(p % 5 * 10) if p != 33 else None) for p in range(10, 60) for m in (1, 2)]
+    df = flows(*facts).withColumn("cmdCode", F.when(F.col("partnerCode") % 3 == 0, "a").otherwise("b"))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        found = rows(shares.coverage_ranges(df, keys))
+    finally:
+        spark.conf.set(name, "true")
+    assert found == rows(shares.coverage(df, keys))
+    assert rows(shares.coverage_ranges(df.filter("false"), keys)) == []

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeflow.functions import month_start, pct, until, year_month_between
 from tradeflow.functions.columns import as_date
+from tradeflow.plans.running import in_ranges, running
 from tradeflow.sources.fixed_values import CUTOVER, KG_PER_TONNE, LOW_SHARE_PCT, TOP_N
 
 OTHER = "Other"
@@ -175,6 +177,32 @@ def coverage(flows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def coverage_ranges(flows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """coverage() for any number of origins: no task holds all of a key's, and ties share a value all the same.
+
+    Origins are dealt into ranges by volume, summed within them, and each range is raised by the sums of the
+    ones before. The origins' sums are written once; coverage() is quicker for a list of countries.
+    """
+    total = flows.groupBy(*keys, "partnerName").agg(F.sum("netWgt").alias("netWgt"))
+    order = [F.col("netWgt").desc()]
+    ranges = in_ranges(total, [*keys, *order], "origins")
+    upto = running(ranges, keys, order, {"upto": ("sum", F.col("netWgt"))}, peers=True)
+    # One row a key, or one at all; what a key has in sum is not known within its ranges.
+    whole = ranges.groupBy(*keys).agg(F.sum("netWgt").alias("whole"))
+    if keys:
+        whole = whole.select(*[F.col(k).alias(f"_{k}") for k in keys], "whole")
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        joined = upto.join(whole, reduce(Column.__and__, same))
+    else:
+        joined = upto.withColumn("whole", whole.scalar())
+    return joined.select(
+        *keys,
+        "partnerName",
+        _tonnes(F.col("netWgt")).alias("tonnes"),
+        pct(F.col("upto"), F.col("whole")).alias("cumulative_pct"),
+    )
+
+
 def coverage_covered(
     coverage_report: DataFrame, distances: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.operators import dims, prices, shares, zone
-from tradeflow.plans import build
+from tradeflow.plans import build, upkeep
 from tradeflow.plans.store import Store
 from tradeflow.schemas import RAW_RECORD
 from tradeflow.sources import landing
@@ -29,6 +29,7 @@ CUTOVER = "1998-02-01"
 END_DATE = "2000-12-01"
 COMMODITY = ("cmdCode",)
 LAST_FIRST_BATCH_YEAR = 1998
+LATE_REPORTER = 7
 
 LINE = ("refYear", "refMonth", "reporterCode", "partnerCode", "l_returnflag", "l_linestatus")
 
@@ -231,9 +232,56 @@ class Fixture:
             "extra_zone_monthly", lambda: shares.origin_month(self.extra), ["refYear"]
         )
 
+    @property
+    def zone_by_type(self) -> DataFrame:
+        return self.stored("zone_by_type", lambda: zone.zone_of(self.flows_by_type))
+
     @property
     def extra_by_type(self) -> DataFrame:
-        return zone.extra_zone_countries(self.flows_by_type, self.zone)
+        return zone.extra_zone_countries(self.flows_by_type, self.zone_by_type)
+
+    # -- flawed declarations -----------------------------------------------------------
+
+    @property
+    def raw_flawed(self) -> DataFrame:
+        """The raw lines with World lines that disagree with their partners, and lines without a weight."""
+        is_world = F.col("partnerCode") == 0
+        is_total = (F.col("motCode") == 0) & (F.col("customsCode") == "C00")
+        place = F.col("reporterCode") + F.col("refMonth")
+        weight = (
+            F.when(is_world & is_total & (place % 5 == 0), F.col("netWgt") * 1.25 + 1)
+            .when(is_world & (place % 11 == 0), None)
+            .when(~is_world & ((place + F.col("partnerCode")) % 9 == 0), None)
+            .otherwise(F.col("netWgt"))
+        )
+        return self.stored("raw_flawed", lambda: self.raw.withColumn("netWgt", weight), ["refYear"])
+
+    @property
+    def named_flawed(self) -> DataFrame:
+        return build.named_detail(self.raw_flawed, self.partners, self.reporters)
+
+    @property
+    def extra_flawed(self) -> DataFrame:
+        flows = self.stored(
+            "flows_flawed", lambda: build.flows(self.raw_flawed, self.partners, self.reporters), ["refYear"]
+        )
+        members = self.stored("zone_flawed", lambda: zone.zone_of(flows))
+        return zone.extra_zone_countries(flows, members)
+
+    # -- upkeep ------------------------------------------------------------------------
+
+    @property
+    def refreshed(self) -> Store:
+        """A store built while one reporter lacked its later years, and then brought up to date for it."""
+
+        def make() -> Store:
+            store = Store(self.spark, self.store.path("refreshed"))
+            late = (F.col("reporterCode") == LATE_REPORTER) & (F.col("refYear") > LAST_FIRST_BATCH_YEAR)
+            upkeep.rebuild(store, self.raw.filter(~late), self.partners, self.reporters)
+            upkeep.refresh(store, self.raw, self.partners, self.reporters, [LATE_REPORTER])
+            return store
+
+        return self._once("refreshed", make)
 
     # -- prices ------------------------------------------------------------------------
 

@@ -213,8 +213,21 @@ CTES.update({k.format(s=""): v.format(s="", t="one_type") for k, v in _CHAIN.ite
 CTES.update({k.format(s="_by_type"): v.format(s="_by_type", t="p_type") for k, v in _CHAIN.items()})
 # The zone of a chain is read off its own flows.
 CTES["extra_by_type"] = CTES["extra_by_type"].replace("FROM flows)", "FROM flows_by_type)")
+# Declarations with flaws: World lines that disagree with their partners, lines without a weight.
+_FLAWED = {k.format(s="_flawed"): v.format(s="_flawed", t="one_type") for k, v in _CHAIN.items()}
+_FLAWED["raw_flawed"] = """
+        SELECT * REPLACE (
+          CASE WHEN "partnerCode" = 0 AND "motCode" = 0 AND "customsCode" = 'C00' AND ("reporterCode" + "refMonth") % 5 = 0
+               THEN "netWgt" * 1.25 + 1
+               WHEN "partnerCode" = 0 AND ("reporterCode" + "refMonth") % 11 = 0 THEN NULL
+               WHEN "partnerCode" <> 0 AND ("reporterCode" + "refMonth" + "partnerCode") % 9 = 0 THEN NULL
+               ELSE "netWgt" END AS "netWgt")
+        FROM raw"""
+_FLAWED["extra_flawed"] = _FLAWED["extra_flawed"].replace("FROM flows)", "FROM flows_flawed)")
+CTES.update(_FLAWED)
 # Prices come before the chain, which joins them.
 CTES = {**_PRICES, **CTES, **_DERIVED}
+CTES["recon_flawed"] = _DERIVED["recon"].replace("FROM totals", "FROM totals_flawed")
 
 FLOW_COLUMNS = (
     '"refYear", "refMonth", "reporterCode", "reporterName", "partnerCode", "partnerName", '
@@ -288,6 +301,7 @@ STATEMENTS: dict[str, str] = {
     "stack_raw": f"SELECT {RAW_COLUMNS} FROM raw",
     "ingest_incremental": f"SELECT {RAW_COLUMNS} FROM raw",
     "ingest_relanded": f"SELECT {RAW_COLUMNS} FROM raw",
+    "ingest_compacted": f'SELECT {RAW_COLUMNS} FROM raw WHERE "reporterCode" <> 7',
     "landing_gaps": 'SELECT g.* FROM grid g ANTI JOIN landed_files USING (iso3, year)',
     "completeness": """
         SELECT * REPLACE (round(world_gap_pct, 6) AS world_gap_pct),
@@ -327,6 +341,21 @@ STATEMENTS: dict[str, str] = {
         FROM recon""",
     "world_recon_monthly": """
         SELECT "reporterCode", "refYear", "refMonth", detail, world, abs(detail - world) AS gap FROM recon""",
+    "world_recon_flawed": """
+        SELECT COUNT(*) AS n_reporter_months,
+               round(SUM(abs(detail - world)) / nullif(SUM(world), 0) * 100, 6) AS gap_pct,
+               (SELECT COUNT(*) FROM (SELECT coalesce(SUM("netWgt"), 0) AS w FROM totals_flawed WHERE "partnerCode" = 0
+                                      GROUP BY "reporterCode", "refYear", "refMonth") WHERE w = 0)
+                 AS n_zero_world
+        FROM recon_flawed""",
+    "world_recon_monthly_flawed": """
+        SELECT "reporterCode", "refYear", "refMonth", detail, world, abs(detail - world) AS gap FROM recon_flawed""",
+    "zero_fill_flawed": f"SELECT {FLOW_COLUMNS} FROM flows_flawed",
+    "zero_fill_summary_flawed": """
+        SELECT (SELECT COUNT(*) FROM named_flawed) AS n_before, (SELECT COUNT(*) FROM zeros_flawed) AS n_added,
+               (SELECT COUNT(*) FROM named_flawed) + (SELECT COUNT(*) FROM zeros_flawed) AS n_after""",
+    "market_share_flawed": f"SELECT {MONTHLY_SHARES} FROM shares_flawed",
+    "flows_refreshed": f"SELECT {FLOW_COLUMNS} FROM flows",
     "partner_dim": "SELECT * FROM partners",
     "distances_dim": "SELECT * FROM distances",
     "date_dim": """
@@ -499,6 +528,9 @@ def with_ctes(statement: str, extra: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({known[n]})" for n in needed) + statement
 
 
+STATEMENTS["rollup_refreshed"] = STATEMENTS["extra_zone_monthly"]
+STATEMENTS["coverage_ranges"] = STATEMENTS["coverage"]
+
 STUDY = (
     "top_origins_extra", "market_share", "transition_speed", "coverage", "coverage_covered", "price_flow",
     "tonne_miles", "before_after", "confidence_coverage",

@@ -21,7 +21,7 @@ from tradeflow.operators import (
     shares,
     zone,
 )
-from tradeflow.plans import build, marts
+from tradeflow.plans import build, marts, upkeep
 from tradeflow.schemas import FLOWS
 from tradeflow.sources import landing
 from tradeflow.streaming import ingest
@@ -30,6 +30,7 @@ from workload.adapter import (
     CUTOVER,
     END_DATE,
     LAST_FIRST_BATCH_YEAR,
+    LATE_REPORTER,
     PRICED_PERIOD,
     YEARS,
     Fixture,
@@ -124,6 +125,22 @@ def ingest_relanded(fx: Fixture) -> DataFrame:
     return ingest.read_raw(fx.spark, table, manifest)
 
 
+@query
+def ingest_compacted(fx: Fixture) -> DataFrame:
+    """All files land, year after year; one reporter's are then deleted, and the runs are merged."""
+    run = fx.store.path(f"compacted-{uuid.uuid4().hex}")
+    folder, manifest, table = (f"{run}/{part}" for part in ("landing", "manifest", "raw"))
+    whole = fx.envelopes(whole=True)
+    first = F.col("year") <= LAST_FIRST_BATCH_YEAR
+    stays = F.col("iso3") != F.format_string("N%02d", F.lit(LATE_REPORTER))
+    for part in (first, F.lit(True), stays):
+        whole.filter(part).write.mode("overwrite").partitionBy("iso3", "year").json(folder)
+        ingest.ingest_new_files(fx.spark, folder, table, manifest, "partitioned", False)
+    ingest.compact(fx.spark, table, manifest)
+    ingest.vacuum(fx.spark, table, manifest, keep=1)
+    return ingest.read_raw(fx.spark, table, manifest)
+
+
 @query
 def completeness_(fx: Fixture) -> DataFrame:
     return _report(fx)
@@ -190,6 +207,17 @@ def world_recon_monthly(fx: Fixture) -> DataFrame:
     return quality.world_recon_monthly(clean.totals_only(fx.raw))
 
 
+@query
+def world_recon_flawed(fx: Fixture) -> DataFrame:
+    """Over declarations in which partners and World disagree and weights are missing."""
+    return quality.world_recon(clean.totals_only(fx.raw_flawed))
+
+
+@query
+def world_recon_monthly_flawed(fx: Fixture) -> DataFrame:
+    return quality.world_recon_monthly(clean.totals_only(fx.raw_flawed))
+
+
 # -- dimensions, enrichment, zero fill --------------------------------------------------
 
 
@@ -246,6 +274,34 @@ def zero_fill_summary(fx: Fixture) -> DataFrame:
     return densify.zero_fill_summary(fx.named)
 
 
+@query
+def zero_fill_flawed(fx: Fixture) -> DataFrame:
+    """A line without a weight stays, and its cell is filled beside it."""
+    return densify.zero_fill(fx.named_flawed).select(*FLOWS.fieldNames())
+
+
+@query
+def zero_fill_summary_flawed(fx: Fixture) -> DataFrame:
+    return densify.zero_fill_summary(fx.named_flawed)
+
+
+@query
+def market_share_flawed(fx: Fixture) -> DataFrame:
+    return shares.market_share(fx.extra_flawed)
+
+
+@query
+def flows_refreshed(fx: Fixture) -> DataFrame:
+    """Flows in two pieces: all reporters, and the one whose files came later."""
+    return fx.refreshed.get("flows", FLOWS)
+
+
+@query
+def rollup_refreshed(fx: Fixture) -> DataFrame:
+    """The rollup from which the reporter's old sums were taken and to which its new ones were added."""
+    return fx.refreshed.get("extra_zone_monthly", upkeep.rollup_schema())
+
+
 @query
 def lane_series(fx: Fixture) -> DataFrame:
     return densify.lane_series(fx.flows, REPORTER, PARTNER).select(*LANE)
@@ -345,6 +401,12 @@ def coverage(fx: Fixture) -> DataFrame:
     return shares.coverage(fx.extra)
 
 
+@query
+def coverage_ranges(fx: Fixture) -> DataFrame:
+    """The running coverage summed in ranges, for origins too many for one task."""
+    return shares.coverage_ranges(fx.extra)
+
+
 @query
 def coverage_covered(fx: Fixture) -> DataFrame:
     return shares.coverage_covered(shares.coverage(fx.extra), fx.distances)
