@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -177,20 +178,74 @@ def test_rule_inputs(spark, docs, corpus):
         assert not (r["base_failed"] and r["kept"])
 
 
-def test_votes_outweigh_a_single_mild_fault(spark):
-    good = " ".join(f"word{i} another{i} third{i}." for i in range(60))
-    noisy = " ".join(f"word{i}### another{i}$$$" for i in range(60))
-    rows = [(i, good + f" end{i}.") for i in range(20)] + [(100, noisy)]
-    found = by_id(quality.quality(spark.createDataFrame(rows, "doc_id long, text string")))
-    assert all(found[i]["kept"] for i in range(20)) and not found[100]["kept"]
-    assert found[100]["quality"] < 0.5 < found[0]["quality"]
-
-
-def test_accuracy_is_learned_within_bounds():
-    bounds = [quality.MILD, quality.SUPPORT]
-    good, accuracy = quality.estimate([((-1, 0), 5), ((0, 1), 500), ((-1, 1), 1)], bounds)
-    assert quality.GOOD[0] <= good <= quality.GOOD[1]
-    assert all(lo <= a <= hi for a, (lo, hi) in zip(accuracy, bounds, strict=True))
+def plain_em(patterns):
+    """The estimate by documents one after another, with probabilities instead of log-odds."""
+    k = len(patterns[0][0])
+    rows = [votes for votes, n in patterns for _ in range(n)]
+    s = quality.PRIOR * len(rows)
+    pi, acc = quality.GOOD, [(quality.ON_GOOD, quality.ON_BAD)] * k
+
+    def p_good(votes):
+        g, b = pi, 1 - pi
+        for v, (on_good, on_bad) in zip(votes, acc, strict=True):
+            g *= {1: on_good, -1: 1 - on_good, 0: 1}[v]
+            b *= {1: 1 - on_bad, -1: on_bad, 0: 1}[v]
+        return g / (g + b)
+
+    for _ in range(quality.ROUNDS):
+        ps = [p_good(v) for v in rows]
+        nxt = []
+        for r in range(k):
+            of = [(v[r], p) for v, p in zip(rows, ps, strict=True) if v[r]]
+            a = (s * quality.ON_GOOD + sum(p for v, p in of if v > 0)) / (s + sum(p for _, p in of))
+            b = (s * quality.ON_BAD + sum(1 - p for v, p in of if v < 0)) / (s + sum(1 - p for _, p in of))
+            nxt.append((a, max(b, 1 - a)))
+        pi, acc = (s * quality.GOOD + sum(ps)) / (s + len(rows)), nxt
+    return {v: p_good(v) for v in rows}
+
+
+PATTERNS = [
+    ((1, 1, 1, 1), 300), ((1, 1, 0, 1), 100), ((-1, -1, -1, 1), 30), ((-1, -1, 0, 1), 20), ((-1, 1, 1, 1), 9),
+    ((1, 1, 1, -1), 150), ((0, 0, 0, 0), 3), ((-1, -1, -1, -1), 12),
+]
+
+
+def test_estimate_against_plain_em():
+    found = quality.estimate(PATTERNS)
+    for votes, p in plain_em(PATTERNS).items():
+        assert quality.posterior(votes, *found) == pytest.approx(p, abs=1e-9)
+
+
+def test_size_of_the_corpus_does_not_matter():
+    once, often = quality.estimate(PATTERNS), quality.estimate([(v, 1000 * n) for v, n in PATTERNS])
+    assert once[0] == pytest.approx(often[0]) and once[1][2] == pytest.approx(often[1][2])
+
+
+def test_the_corpus_decides_what_a_vote_is_worth():
+    """One bad vote: outvoted where that rule is at odds with the others, heard where it goes with them."""
+    alone = (-1, 1, 1, 1)
+    noisy = [((1, 1, 1, 1), 600), (alone, 250), ((1, -1, -1, -1), 80)]
+    telling = [((1, 1, 1, 1), 600), (alone, 12), ((-1, -1, -1, 1), 90), ((-1, -1, 1, -1), 90), ((-1, 1, -1, -1), 90)]
+    assert quality.posterior(alone, *quality.estimate(noisy)) > 0.9
+    assert quality.posterior(alone, *quality.estimate(telling)) < 0.5
+
+
+def test_verdict_of_a_document_depends_on_the_corpus(spark):
+    """The same text in capitals is kept among good texts in capitals and rejected among bad ones."""
+    rng = random.Random(4)
+    distinct = lambda n: " ".join("".join(rng.choice("abcdefghiklmnop") for _ in range(5)) + ("." if i % 9 == 8 else "") for i in range(n))
+    shout = distinct(90).upper()
+    good = [distinct(90) for _ in range(160)]
+    loud = [distinct(90).upper() for _ in range(40)]
+    faults = [lambda t: t.replace(" ", " # ", 20), lambda t: t.replace(".", ""), lambda t: t + " 0123456789" * 20]
+    junk = [faults[i % 3](faults[(i + 1) % 3](distinct(90).upper())) for i in range(90)]
+    verdicts = []
+    for others in (good + loud, good + junk):
+        rows = [(0, shout), *enumerate(others, 1)]
+        found = by_id(quality.quality(spark.createDataFrame(rows, "doc_id long, text string")))
+        assert all(found[i]["kept"] for i, t in rows if t in good)
+        verdicts.append(found[0]["kept"])
+    assert verdicts == [True, False]
 
 
 def test_quality_of_odd_rows(odd_docs, no_docs):

@@ -1,15 +1,17 @@
 """Quality by weak supervision, with DataFrame functions alone.
 
-Every rule votes good (1), bad (-1) or abstains (0) on a document. The votes of all documents are
-counted per vote pattern; a rule has one vote beside abstaining, so there are at most
-2 ** len(rules()) patterns whatever the number of documents. On these counts
-expectation-maximisation estimates the share of good documents and the accuracy of each rule
-where it votes. The posterior probability of being good is the log-odds sum of the votes; it
-takes the place of passing every rule. A document is kept if it reaches KEEP and does not fail
-the two base rules.
-
-Votes alone cannot tell a rule that nobody joins from a wrong one, so each rule states the bounds
-of its accuracy: a plain fault is seldom wrong, a mild one needs company, support is weak evidence.
+Every rule looks at one figure of a document and votes good (1), bad (-1) or, between its two thresholds,
+abstains (0). The votes of all documents are counted per vote pattern, at most 3 ** len(rules())
+patterns whatever the number of documents. On these counts expectation-maximisation estimates the share
+of good documents and two accuracies of each rule: how often its votes on good documents are good, and its
+votes on bad documents bad. What a vote weighs follows from these alone, so a rule that keeps disagreeing
+with the others loses weight, and what one rule says can be outvoted. The posterior probability of being
+good takes the place of passing every rule: a document is kept if it reaches KEEP and does not fail the two
+base rules.
+
+The estimate starts from the same accuracies for all rules, and documents worth PRIOR of the corpus keep
+voting by them, whatever its size. One constraint fixes which of the two classes is called good: a
+rule votes at least as often good on good documents as on bad ones.
 
 Defined results. A null or empty text has no words and fails the base rules. A rule that has nothing
 to measure abstains. Ties (posterior equal to KEEP) are kept. Repeated rows are judged alike. An
@@ -27,11 +29,10 @@ from tradeflow.llm.common import SPACE, WORD, let, quoted, written
 
 SYMBOLS = r"[^#*$%&|<>]+"  # everything but symbols
 KEEP = 0.5
-ROUNDS = 50
-# Bounds of the accuracy of a rule where it votes, and of the share of good documents.
-PLAIN, MILD, SUPPORT = (0.95, 0.995), (0.6, 0.85), (0.5, 0.6)
-GOOD = (0.5, 0.8)
-PRIOR = 10.0  # documents at the middle of the bounds that each estimate starts from
+ROUNDS = 100
+# Where the estimate starts: share of good documents, accuracy of votes on good and on bad ones.
+GOOD, ON_GOOD, ON_BAD = 0.8, 0.9, 0.6
+PRIOR = 0.01
 
 
 def _count_other(text: Column, pattern: str) -> Column:
@@ -103,92 +104,94 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         _count_other(t, r"[^\p{Lu}]+").alias("n_capitals"),
         _count_other(t, r"[^0-9]+").alias("n_digits"),
         _count_other(t, r"[^.!?]+").alias("n_stops"),
+        _count_other(t, r"[^\p{L}]+").alias("n_letters"),
     ).select(
         "key",
         F.col("words.n").alias("n_words"),
         F.col("words.repeated").alias("n_repeat_words"),
         F.col("lines.n").alias("n_lines"),
         F.col("lines.dup").alias("n_dup_lines"),
-        "word_chars", "n_symbols", "n_capitals", "n_digits", "n_stops",
+        "word_chars", "n_symbols", "n_capitals", "n_digits", "n_stops", "n_letters",
     )
 
 
-def rules() -> dict[str, tuple[Column, int, tuple[float, float]]]:
-    """By name: when the rule votes, what it votes, and the bounds of its accuracy."""
+def rules() -> dict[str, tuple[Column, Column]]:
+    """By name: when the rule votes bad, and when good."""
     n = F.col("n_words")
     share = lambda part, whole: F.try_divide(F.col(part), F.col(whole))
-    symbols = share("n_symbols", "n_words")
-    lines = share("n_dup_lines", "n_lines")
-    repeats = share("n_repeat_words", "n_words")
+    symbols, letters = share("n_symbols", "n_words"), share("n_letters", "word_chars")
+    lines, repeats = share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words")
     capitals, digits = share("n_capitals", "word_chars"), share("n_digits", "word_chars")
     stops, length = share("n_stops", "n_words"), share("word_chars", "n_words")
     return {
-        "symbols": (symbols > 0.3, -1, PLAIN),
-        "some_symbols": (symbols > 0.06, -1, MILD),
-        "repeated_lines": (lines > 0.5, -1, PLAIN),
-        "some_repeated_lines": (lines > 0.3, -1, MILD),
-        "repeated_words": (repeats > 0.45, -1, PLAIN),
-        "some_repeated_words": (repeats > 0.3, -1, MILD),
-        "capitals": (capitals > 0.5, -1, PLAIN),
-        "some_capitals": (capitals > 0.2, -1, MILD),
-        "digits": (digits > 0.4, -1, PLAIN),
-        "word_length": ((length < 2) | (length > 15), -1, PLAIN),
-        "no_sentences": ((n >= 50) & (F.col("n_stops") == 0), -1, MILD),
-        "long_enough": (n >= 100, 1, SUPPORT),
-        "sentences": (stops.between(0.02, 0.34), 1, SUPPORT),
-        "varied": ((n >= 50) & (repeats < 0.15), 1, SUPPORT),
+        "symbols": (symbols > 0.1, symbols < 0.02),
+        "letters": (letters < 0.8, letters > 0.9),
+        "word_length": ((length < 2.5) | (length > 7), length.between(3.5, 6.5)),
+        "repeated_lines": (lines > 0.25, (F.col("n_lines") >= 3) & (lines < 0.1)),
+        "repeated_words": (repeats > 0.25, (n >= 20) & (repeats < 0.1)),
+        "capitals": (capitals > 0.2, capitals < 0.1),
+        "digits": (digits > 0.15, digits < 0.05),
+        "sentences": ((stops > 0.5) | ((n >= 50) & (stops == 0)), stops.between(0.02, 0.25)),
     }
 
 
-def estimate(
-    patterns: list[tuple[tuple[int, ...], int]], bounds: list[tuple[float, float]]
-) -> tuple[float, list[float]]:
-    """Share of good documents and accuracy of each rule, from (votes, documents) counts.
+Votes = tuple[int, ...]
+
+
+def posterior(votes: Votes, good: float, accuracy: list[tuple[float, float]]) -> float:
+    """Probability that a document with these votes is good."""
+    odds = math.log(good / (1 - good))
+    for vote, (on_good, on_bad) in zip(votes, accuracy, strict=True):
+        odds += weight(vote, on_good, on_bad)
+    return 1 / (1 + math.exp(-odds)) if odds > -700 else 0.0
+
+
+def weight(vote: int, on_good: float, on_bad: float) -> float:
+    """Log-odds that a vote adds."""
+    if vote == 0:
+        return 0.0
+    return math.log(on_good / (1 - on_bad)) if vote > 0 else math.log((1 - on_good) / on_bad)
+
 
-    Given whether a document is good, a rule that votes is right with its accuracy, whatever the
-    others say. Expected counts of right votes give the next accuracies, held in their bounds.
+def estimate(patterns: list[tuple[Votes, int]]) -> tuple[float, list[tuple[float, float]]]:
+    """Share of good documents and the two accuracies of each rule, from (votes, documents) counts.
+
+    Given whether a document is good, a rule that votes is right with its accuracy there, whatever the
+    others say. Expected counts of right votes, with those of the prior, give the next accuracies.
     """
-    middle = [(low + high) / 2 for low, high in bounds]
-    good, accuracy = sum(GOOD) / 2, middle
-    for _ in range(ROUNDS):
-        right = [m * PRIOR for m in middle]
-        voted = [PRIOR] * len(bounds)
-        total, mass = PRIOR, PRIOR * sum(GOOD) / 2
+    n_rules = len(patterns[0][0]) if patterns else 0
+    extra = PRIOR * sum(n for _, n in patterns)
+    good, accuracy = GOOD, [(ON_GOOD, ON_BAD)] * n_rules
+    for _ in range(ROUNDS if patterns else 0):
+        total, mass = extra, extra * GOOD
+        right = [[extra * ON_GOOD, extra * ON_BAD] for _ in range(n_rules)]
+        voted = [[extra, extra] for _ in range(n_rules)]
         for votes, n in patterns:
             p = posterior(votes, good, accuracy)
-            total += n
-            mass += n * p
-            for r, v in enumerate(votes):
-                if v:
-                    voted[r] += n
-                    right[r] += n * (p if v > 0 else 1 - p)
-        good = min(max(mass / total, GOOD[0]), GOOD[1])
+            total, mass = total + n, mass + n * p
+            for r, vote in enumerate(votes):
+                if vote:
+                    voted[r][0] += n * p
+                    voted[r][1] += n * (1 - p)
+                    right[r][vote < 0] += n * (p if vote > 0 else 1 - p)
+        good = mass / total
         accuracy = [
-            min(max(a / b, low), high)
-            for a, b, (low, high) in zip(right, voted, bounds, strict=True)
+            # No better than chance: the votes then weigh nothing.
+            (a / b, max(c / d, 1 - a / b)) for (a, c), (b, d) in zip(right, voted, strict=True)
         ]
     return good, accuracy
 
 
-def log_odds(p: float) -> float:
-    return math.log(p / (1 - p))
-
-
-def posterior(votes: tuple[int, ...], good: float, accuracy: list[float]) -> float:
-    odds = log_odds(good) + sum(v * log_odds(a) for v, a in zip(votes, accuracy, strict=True))
-    return 1 / (1 + math.exp(-odds))
-
-
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """measured() with the votes, the posterior quality and the verdict."""
-    bounds = [b for _, _, b in rules().values()]
-    votes = F.array(*[F.when(fires, vote).otherwise(0) for fires, vote, _ in rules().values()])
+    votes = F.array(*[F.when(bad, -1).when(good, 1).otherwise(0) for bad, good in rules().values()])
     stats = written(measured(docs, key, text).withColumn("votes", votes), "quality-votes")
-    counts = stats.groupBy("votes").count().collect()  # at most 2 ** len(rules()) rows
-    good, accuracy = estimate(sorted((tuple(r["votes"]), r["count"]) for r in counts), bounds)
-    odds = F.lit(log_odds(good))
-    for r, a in enumerate(accuracy):
-        odds = odds + F.col("votes")[r] * log_odds(a)
+    counts = stats.groupBy("votes").count().collect()  # at most 3 ** len(rules()) rows
+    good, accuracy = estimate(sorted((tuple(r["votes"]), r["count"]) for r in counts))
+    odds = F.lit(math.log(good / (1 - good)))
+    for r, of in enumerate(accuracy):
+        vote = F.col("votes")[r]
+        odds = odds + F.when(vote > 0, weight(1, *of)).when(vote < 0, weight(-1, *of)).otherwise(0.0)
     n = F.col("n_words")
     failed = (n < 50) | (100 * F.col("n_repeat_words") > 50 * n)
     return (
