@@ -12,7 +12,7 @@ listed side by side: as many as the calendar has.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -54,16 +54,18 @@ def _silent(year: Column) -> Column:
 
 
 def _lanes(
-    flows: DataFrame, keys: Sequence[str], attributes: Sequence[str], null_is_present: bool, counted: bool = False
+    flows: DataFrame,
+    keys: Sequence[str],
+    attributes: Sequence[str],
+    null_is_present: bool,
+    counts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per lane: its attributes, own_years (its bits by year) and its reporter's published years,
-    and n_rows if counted.
+    and the counts asked for, each a sum over rows.
     """
     by = [*keys, "reporterCode"]
-    more, gathered = [], []
-    if counted:
-        more.append(F.count("*").alias("n_rows"))
-        gathered.append(F.sum("n_rows").alias("n_rows"))
+    more = [count.alias(name) for name, count in (counts or {}).items()]
+    gathered = [F.sum(name).alias(name) for name in counts or {}]
     if attributes:
         # All attributes of one row: a partner spelt in two ways keeps name and code together.
         more.append(F.max(F.struct(*attributes)).alias("own"))
@@ -122,16 +124,24 @@ def zero_fill(
     return flows.unionByName(added, allowMissingColumns=True)
 
 
+def _n_silent() -> Column:
+    """Silent months of a lane, from its own and its reporter's years."""
+    add = lambda total, year: total + F.bit_count(_silent(year))
+    return F.aggregate(F.coalesce("published", F.array()), F.lit(0), add).cast("long")
+
+
+def dense_lanes(flows: DataFrame, keys: Sequence[str] = (), **counts: Column) -> DataFrame:
+    """Per lane the months that zero fill adds (n_silent), and sums over the rows it has."""
+    lanes = _lanes(flows, keys, (), False, counts)
+    return lanes.select(*keys, "reporterCode", "partnerCode", *counts, _n_silent().alias("n_silent"))
+
+
 def zero_fill_summary(flows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Rows before, added and after, counted per lane without expanding the added rows."""
-    def add(total: Column, year: Column) -> Column:
-        return total + F.bit_count(_silent(year))
-
-    n_silent = F.aggregate(F.coalesce("published", F.array()), F.lit(0), add).cast("long")
     sums = (
-        _lanes(flows, keys, attributes=(), null_is_present=False, counted=True)
+        dense_lanes(flows, keys, n_rows=F.count("*"))
         .groupBy(*keys)
-        .agg(F.sum("n_rows").alias("n_before"), F.sum(n_silent).alias("n_added"))
+        .agg(F.sum("n_rows").alias("n_before"), F.sum("n_silent").alias("n_added"))
     )
     return sums.withColumn("n_after", F.col("n_before") + F.col("n_added"))
 

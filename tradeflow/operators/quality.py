@@ -119,9 +119,12 @@ def _comparable() -> Column:
 
 def world_recon_monthly(totals: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Reporter-months where partner detail can be held against a non-zero World line."""
+    return recon_monthly_of(_reconciled(totals, keys), keys)
+
+
+def recon_monthly_of(reconciled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return (
-        _reconciled(totals, keys)
-        .filter(_comparable())
+        reconciled.filter(_comparable())
         .select(
             *keys, "reporterCode", "refYear", "refMonth", "detail", "world",
             F.abs(F.col("detail") - F.col("world")).alias("gap"),
@@ -131,11 +134,14 @@ def world_recon_monthly(totals: DataFrame, keys: Sequence[str] = ()) -> DataFram
 
 def world_recon(totals: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Overall gap between partner detail and World, and how many World lines weigh zero."""
+    return recon_of(_reconciled(totals, keys), keys)
+
+
+def recon_of(reconciled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     ok = _comparable()
     gap = F.sum(F.when(ok, F.abs(F.col("detail") - F.col("world"))))
     return (
-        _reconciled(totals, keys)
-        .groupBy(*keys)
+        reconciled.groupBy(*keys)
         .agg(
             F.count_if(ok).alias("n_reporter_months"),
             pct(gap, F.sum(F.when(ok, F.col("world")))).alias("gap_pct"),

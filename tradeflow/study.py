@@ -23,20 +23,19 @@ from pyspark.sql import types as T
 
 from tradeflow.operators import (
     completeness,
-    densify,
     dims,
     distance,
-    enrich,
+    lattice,
     prices,
     quality,
     shares,
     zone,
 )
-from tradeflow.operators.clean import split_detail, totals_only
+from tradeflow.operators.clean import totals_only
 from tradeflow.plans import marts, upkeep
 from tradeflow.plans.store import Store
 from tradeflow.plans.upkeep import ZONE, flows_schema, rollup_schema
-from tradeflow.schemas import DOUBLE, INT
+from tradeflow.schemas import DOUBLE, INT, PARTNER_DIM
 from tradeflow.session import SETTINGS
 from tradeflow.sources import landing, reference, tables
 from tradeflow.sources.envelopes import quarantined
@@ -162,8 +161,9 @@ def checks(
     envelopes = landing.read_envelopes(spark, landing_dir, layout, multi_line)
     report = store.put("completeness", completeness.completeness(envelopes, grid))
     raw = ingest.read_raw(spark, store.path("raw"), store.path("raw-manifest"))
-    totals = totals_only(raw, keys)
-    flows = store.get("flows", flows_schema(keys))
+    # Raw is read once, for the partial sums that the reports on declarations share.
+    cells = store.put("lattice", lattice.lattice(totals_only(raw, keys), keys), ["refYear"])
+    partners, members = store.get("partners", PARTNER_DIM), store.get("zone", ZONE)
     return {
         "completeness": report.orderBy("reporter", "year"),
         "unreadable_files": completeness.unreadable_files(report),
@@ -172,11 +172,13 @@ def checks(
         "gap_files": completeness.gap_files(report),
         "code_lists": completeness.code_lists(report),
         "missing_files": missing_files(spark, landing_dir, YEARS, layout),
-        "world_reconciliation": quality.world_recon(totals, keys),
-        "world_reconciliation_monthly": quality.world_recon_monthly(totals, keys),
-        "special_share": enrich.special_share(flows, keys),
-        "zero_fill": densify.zero_fill_summary(split_detail(totals), keys),
-        "lanes": densify.lane_summary(flows, keys),
+        "world_reconciliation": lattice.world_recon(cells, keys),
+        "world_reconciliation_monthly": lattice.world_recon_monthly(cells, keys),
+        "special_share": lattice.special_share(cells, partners, keys),
+        "zero_fill": lattice.zero_fill_summary(cells, keys),
+        "lanes": lattice.lane_summary(cells, keys),
+        "hub_ratio": lattice.hub_ratio(cells, tables.reporters(spark), members, keys),
+        "reporters_per_month": lattice.reporters_per_month(cells, keys),
     }
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.operators import dims, prices, shares, zone
+from tradeflow.operators import clean, dims, lattice, prices, shares, zone
 from tradeflow.plans import build, upkeep
 from tradeflow.plans.store import Store
 from tradeflow.schemas import RAW_RECORD
@@ -268,6 +268,11 @@ class Fixture:
         members = self.stored("zone_flawed", lambda: zone.zone_of(flows))
         return zone.extra_zone_countries(flows, members)
 
+    @property
+    def lattice(self) -> DataFrame:
+        """Partial sums of the declarations, which the quality reports share."""
+        return self.stored("lattice", lambda: lattice.lattice(clean.totals_only(self.raw)), ["refYear"])
+
     # -- upkeep ------------------------------------------------------------------------
 
     @property

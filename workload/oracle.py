@@ -529,6 +529,15 @@ def with_ctes(statement: str, extra: dict[str, str] | None = None) -> str:
 
 
 STATEMENTS["rollup_refreshed"] = STATEMENTS["extra_zone_monthly"]
+STATEMENTS.update(
+    {
+        f"lattice_{name}": STATEMENTS[name]
+        for name in (
+            "world_recon", "world_recon_monthly", "special_share", "zero_fill_summary", "lane_summary", "hub_ratio",
+            "reporters_per_month",
+        )
+    }
+)
 STATEMENTS["coverage_ranges"] = STATEMENTS["coverage"]
 
 STUDY = (

@@ -16,6 +16,7 @@ from tradeflow.operators import (
     dims,
     distance,
     enrich,
+    lattice,
     prices,
     quality,
     shares,
@@ -317,6 +318,44 @@ def reporters_per_month(fx: Fixture) -> DataFrame:
     return quality.reporters_per_month(fx.flows)
 
 
+# -- quality reports from the shared partial sums ---------------------------------------
+
+
+@query
+def lattice_world_recon(fx: Fixture) -> DataFrame:
+    return lattice.world_recon(fx.lattice)
+
+
+@query
+def lattice_world_recon_monthly(fx: Fixture) -> DataFrame:
+    return lattice.world_recon_monthly(fx.lattice)
+
+
+@query
+def lattice_special_share(fx: Fixture) -> DataFrame:
+    return lattice.special_share(fx.lattice, fx.partners)
+
+
+@query
+def lattice_zero_fill_summary(fx: Fixture) -> DataFrame:
+    return lattice.zero_fill_summary(fx.lattice)
+
+
+@query
+def lattice_lane_summary(fx: Fixture) -> DataFrame:
+    return lattice.lane_summary(fx.lattice)
+
+
+@query
+def lattice_hub_ratio(fx: Fixture) -> DataFrame:
+    return lattice.hub_ratio(fx.lattice, fx.reporters, fx.zone)
+
+
+@query
+def lattice_reporters_per_month(fx: Fixture) -> DataFrame:
+    return lattice.reporters_per_month(fx.lattice)
+
+
 # -- zone ------------------------------------------------------------------------------
 
 
