@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tradeflow.llm import components, lattice, simhash, substrings
 
@@ -284,3 +285,16 @@ def test_substrings_of_odd_rows(spark, odd_docs, no_docs):
     gone = sorted((str(r["doc_id"]), r["n_removed"]) for r in substrings.substring_dedup(table).collect())
     assert gone == [("4", 0), ("5", 60), ("5", 60), ("None", 60)]
     assert substrings.substring_dedup(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_rows_that_share_id_and_text_find_their_spans_once(spark, key):
+    """Thousands of such rows: each gets one short list, not one entry for every other row."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = spark.range(4_000).select(F.lit(key).cast("long").alias("doc_id"), F.lit(f"own words {passage} end").alias("text"))
+    other = spark.createDataFrame([(1, f"{passage} else")], "doc_id long, text string")
+    docs = rows.unionByName(other)
+    spans = substrings.repeats(substrings._keyed(docs, "doc_id", "text").select("key", "th", "text"))
+    assert max(len(r.spans) for r in spans.collect()) <= 60
+    found = substrings.substring_dedup(docs).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(1, 61, 0, 1), (key, 63, 60, 4_000)], key=repr)

@@ -208,7 +208,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         runs.join(unlike, reach)
         .filter("key = lo")  # the document that stands for the class, wherever it holds the run
         .groupBy("key", "th")
-        .agg(F.collect_list(F.struct("start", "n")).alias("asked"))
+        .agg(F.collect_set(F.struct("start", "n")).alias("asked"))  # repeated rows ask once
     )
     asked = written(asked, "asked-runs")
     windows = written(
@@ -231,8 +231,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     in_copies = runs.join(copied, reach).filter("key > lo").select(
         "key", "th", F.col("start").alias("from"), (F.col("start") + F.col("n") - 1).alias("to")
     )
+    # A set: rows that share id and text find the same spans, and each row gets them once.
     return in_firsts.unionByName(in_copies).groupBy("key", "th").agg(
-        F.collect_list(F.struct("from", "to")).alias("spans")
+        F.collect_set(F.struct("from", "to")).alias("spans")
     )
 
 
