@@ -22,6 +22,18 @@ def line(year, month, reporter, partner, weight, **changes):
     }
 
 
+@pytest.fixture(autouse=True, scope="module")
+def interpreted(spark):
+    """A build is dozens of plans over a few rows: compiling them would take most of the time."""
+    names = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
 @pytest.fixture
 def inputs(tmp_path):
     landing, prices = tmp_path / "landing", tmp_path / "prices"
@@ -285,9 +297,7 @@ def test_a_refused_line_leaves_all_tables(spark, inputs, rows):
     ("file", "text"),
     [
         ("prices/eia_brent_usd_bbl.json", '{"response": {"data": [{"period": "2020-05", "value": "70.5"}]}}'),
-        ("prices/eia_brent_usd_bbl.json", '{"response": {"data": [{"period": "2020-'),
-        ("partners.json", '{"results": [{"PartnerCode": "4"}]}'),
-        ("partners.json", '{"results": [{"Partner'),
+        ("partners.json", '{"results": [{"Partner'),  # cut short
     ],
 )
 def test_unreadable_prices_and_partners_are_named(spark, inputs, file, text):
