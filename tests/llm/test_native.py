@@ -2,10 +2,12 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradeflow.llm import mixing, quality, secrets
 
@@ -66,6 +68,78 @@ def test_copies_come_near_their_rate(spark):
     assert abs((drawn < 0.3).mean() - 0.3) < 0.01
 
 
+def strays(rows):
+    """source: (words taken, target, source size, largest document) of rows (source, digest)."""
+    found = {}
+    for source, r in rows:
+        taken, _, _, most = found.get(source, (0, 0, 0, 0))
+        found[source] = (taken + r["taken"], r["target"], r["source_size"], max(most, r["size"]))
+    return found
+
+
+def assert_near_targets(found):
+    for source, (taken, target, size, most) in found.items():
+        assert abs(taken - target) <= most + size / 64, (source, taken, target, most)
+
+
+def test_sources_come_near_their_targets(spark):
+    """Few and very unequal documents, many of one size, and one document alone."""
+    rng = random.Random(8)
+    lengths = {
+        "few": [1, 2, 3, 5, 8, 13, 4000, 3900, 2, 1, 700],
+        "spread": [int(1.5 ** rng.uniform(0, 18)) for _ in range(400)],
+        "even": [100] * 700,
+        "one": [50],
+        None: [rng.randint(90, 110) for _ in range(300)],
+    }
+    rows = [(s, n) for s, ns in lengths.items() for n in ns]
+    table = [(i, "w " * n, s) for i, (s, n) in enumerate(rows)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string").repartition(5)
+    for seed in (1, 2):
+        sizes = mixing.measured(docs, "doc_id", "text", "source", seed)
+        found = mixing.plan(sizes, seed=seed).withColumn("taken", F.col("copies") * F.col("size")).collect()
+        assert len(found) == len(rows)
+        assert_near_targets(strays((rows[r["key"]][0], r) for r in found))
+
+
+def test_every_size_has_the_same_chance(spark):
+    """A document's chance of one more copy does not depend on its size, nor on its neighbours' draws."""
+    docs = spark.range(6_000).selectExpr(
+        "id AS doc_id", "repeat('w ', int(1 + id % 200)) AS text", "IF(id % 3 = 0, 'a', 'b') AS source"
+    )
+    found = mixing.mixed(docs).collect()
+    for source, chosen in (("a", lambda d: d % 3 == 0), ("b", lambda d: d % 3 > 0)):
+        of = [r for r in found if chosen(r["doc_id"])]
+        fraction = of[0]["target"] / of[0]["source_size"] % 1
+        for third in range(3):
+            part = [r["taken"] // r["size"] for r in of if r["size"] % 200 // 67 == third]
+            more = sum(n - int(of[0]["target"] / of[0]["source_size"]) for n in part) / len(part)
+            assert abs(more - fraction) < 0.02, (source, third)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_given_sources_come_near_their_targets(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables not present")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = mixing.mixed(docs).join(docs.select("doc_id", "source"), "doc_id")
+    per_source = found.groupBy("source").agg(
+        F.sum("taken"), F.first("target"), F.first("source_size"), F.max("size")
+    )
+    assert_near_targets({r[0]: tuple(r)[1:] for r in per_source.collect()})
+
+
+def test_hot_ids_and_texts_draw_alike(spark):
+    docs = spark.range(20_000).selectExpr(
+        "CASE WHEN id < 7000 THEN 1 WHEN id < 14000 THEN NULL ELSE id END AS doc_id", "'a b c' AS text", "'s' AS source"
+    )
+    other = spark.range(500).selectExpr("id + 50000 AS doc_id", "'a b c d' AS text", "'t' AS source")
+    found = mixing.mixed(docs.union(other))
+    hot = found.filter("doc_id IS NULL OR doc_id = 1").select("doc_id", "taken").distinct().collect()
+    assert len(hot) == 2 and found.count() == 20_500
+
+
 def test_mix_of_odd_rows(odd_docs, no_docs):
     found = mixing.mixed(odd_docs).collect()
     assert len(found) == 7 and all(r["taken"] <= 3 * r["size"] for r in found)

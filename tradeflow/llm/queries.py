@@ -85,12 +85,31 @@ ORACLE_SQL: dict[str, str] = {
           WHERE rest::DOUBLE / weights::DOUBLE <= ratio ORDER BY ratio, level LIMIT 1),
         targets AS (SELECT source, source_size, least(cap::DOUBLE, level * weight) AS target FROM running, level),
         rates AS (
-          SELECT doc_id, size, t.source_size, target, u,
-                 least(CASE WHEN t.source_size > 0 THEN target / t.source_size ELSE 0 END, 3.0::DOUBLE) AS rate
-          FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+          SELECT source, source_size, target,
+                 least(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END, 3.0::DOUBLE) AS rate,
+                 ('0x' || substr(md5('20240501:source ' || coalesce(':' || source, '')), 1, 13))::BIGINT
+                   / 4503599627370496.0::DOUBLE AS start
+          FROM targets),
+        placed AS (
+          SELECT doc_id, size, u, t.source, source_size, target, start, floor(rate) AS times, rate - floor(rate) AS fraction,
+                 greatest(length(bin(size)) - 6, 0) AS shift
+          FROM sizes s JOIN rates t ON s.source IS NOT DISTINCT FROM t.source),
+        banded AS (SELECT *, shift * 64 + (size >> shift) AS band, (size > 0)::INT AS one FROM placed),
+        draws AS (SELECT source, band, u, sum(one)::BIGINT AS n FROM banded GROUP BY ALL),
+        bands AS (
+          SELECT source, band, sum(n)::BIGINT AS n, sum(sum(n)) OVER (PARTITION BY source ORDER BY band)::BIGINT AS upto
+          FROM draws GROUP BY source, band),
+        extras AS (
+          SELECT b.source, band, floor(upto * (rate - floor(rate)) + start)
+                 - floor((upto - n) * (rate - floor(rate)) + start) AS extra
+          FROM bands b JOIN rates r ON b.source IS NOT DISTINCT FROM r.source),
+        ranked AS (SELECT *, sum(n) OVER (PARTITION BY source, band ORDER BY u)::BIGINT AS rank FROM draws),
+        cuts AS (
+          SELECT r.source, r.band, max(u) FILTER (rank - n / 2 <= extra) AS cut
+          FROM ranked r JOIN extras e ON r.source IS NOT DISTINCT FROM e.source AND r.band = e.band GROUP BY ALL)
         SELECT doc_id, size, source_size, target,
-               (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
-        FROM rates""",
+               (size * (times + CASE WHEN u <= cut THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM banded b JOIN cuts c ON b.source IS NOT DISTINCT FROM c.source AND b.band = c.band""",
     "op10_embedding_dedup": """
         WITH RECURSIVE vectors AS (
           SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
