@@ -1,11 +1,13 @@
 """Secret scan, with DataFrame functions alone.
 
 Three kinds are found by pattern: assignments to telling names, access keys, long hex runs. A fourth,
-entropy, looks at candidate strings (runs of the letters of base64) by character class: hex,
-capitals and digits, or any. A window of WINDOW characters slides over the candidate; the counts of its
-characters are kept up to date, one in and one out, and with them the sum of c * log2(c) that
-gives the Shannon entropy. A candidate whose highest window reaches the threshold of its class is
-a secret, unless the allow-list knows it: plain words, ids with a public format, paths, dummies.
+entropy, looks at candidate strings (runs of the letters of base64). Parts that read as words or numbers
+(words joined by capitals, versions, dates, units) are taken out of a candidate up to its next
+separator, for they are what slugs, paths, identifiers and file names consist of. Over what is left, if
+it is long enough, a window of WINDOW characters slides by character class: hex, capitals and digits, or
+any. The counts of its characters are kept up to date, one in and one out, and with them the sum of
+c * log2(c) that gives the Shannon entropy. A candidate whose highest window reaches the threshold of
+its class is a secret, unless the allow-list knows it: ids with a public format, dummies.
 
 Where a pattern matches follows from the pieces of text between its matches, so that
 positions cost one more pass over the texts that have a match and nothing for the others.
@@ -36,15 +38,23 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 WINDOW = 16
-# class: (what the candidate consists of, least entropy in bits of its best window)
+# class: (what is left of the candidate, least entropy in bits of its best window)
 CLASSES = {
-    "hex": (r"^[0-9a-fA-F]+$", 2.7),
-    "capitals": (r"^[A-Z0-9]+$", 3.0),
-    "any": (r"", 3.4),
+    "hex": (r"^[0-9a-fA-F]+=*$", 2.7),
+    "capitals": (r"^[A-Z0-9]+=*$", 3.0),
+    "any": (r"", 3.5),
 }
+# Quantifiers are possessive where they repeat: no backtracking, however long the candidate.
+SHORT = r"(?:[A-Z][a-z](?![a-z]))?+"  # By, On: one at a time between longer words
+HUMPS = rf"(?:{SHORT}[A-Z]*+[a-z]{{2,}}+)*+{SHORT}"  # readCsvFile, HTTPServer, rateByLabel
+PARTS = (
+    # words, with two numbers at most
+    rf"(?:[a-z](?=[A-Z][a-z]{{2}}))?+{HUMPS}[A-Z]*+(?:\d{{1,8}}+{HUMPS}[A-Z]{{0,2}}+){{0,2}}+",
+    r"[A-Za-z]\d{0,4}+",  # v2, A4
+    r"\d++[A-Za-z]{0,2}+",  # 2024, 1080p, 4th
+)
+WORDLIKE = rf"(?<![A-Za-z0-9])(?:{'|'.join(PARTS)})(?:[_/+-]++|(?==*$))"
 ALLOWED = (
-    r"^[A-Za-z]+([_/+-]+[A-Za-z]*)*=*$",  # words, joined words, paths of words
-    r"^[0-9_/+-]+=*$",  # numbers, dates
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUIDs
     r"(?i)example|placeholder|changeme|x{6}|0123456789|1234567890|abcdef",
 )
@@ -133,15 +143,24 @@ def highest_entropy(candidate: Column) -> Column:
     return let(codes, slide)
 
 
+def unread(candidate: Column) -> Column:
+    """What is left of a candidate without the parts that read as words or numbers."""
+    return F.regexp_replace(candidate, WORDLIKE, "")
+
+
 def _is_secret(candidate: Column, _: Column) -> Column:
-    least = F.lit(CLASSES["any"][1])
-    for name in ("capitals", "hex"):
-        inside, bits = CLASSES[name]
-        least = F.when(candidate.rlike(inside), bits).otherwise(least)
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | candidate.rlike(pattern)
-    return F.when(allowed, False).otherwise(highest_entropy(candidate) >= least)
+
+    def high(rest: Column) -> Column:
+        least = F.lit(CLASSES["any"][1])
+        for name in ("capitals", "hex"):
+            inside, bits = CLASSES[name]
+            least = F.when(rest.rlike(inside), bits).otherwise(least)
+        return F.when(F.length(rest) < WINDOW, False).otherwise(highest_entropy(rest) >= least)
+
+    return F.when(allowed, False).otherwise(let(unread(candidate), high))
 
 
 def spans(text: Column) -> Column:
