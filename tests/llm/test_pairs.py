@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tradeflow.llm import components, lattice, simhash, substrings
+from tradeflow.llm import common, components, lattice, simhash, substrings
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+").findall
 
@@ -47,6 +47,53 @@ def test_components(spark, shape):
     assert {r["node"]: r["root"] for r in found.collect()} == reachable({n for p in pairs for n in p}, pairs)
 
 
+@pytest.fixture()
+def many_partitions(spark, tmp_path, monkeypatch):
+    """A session whose shuffles make 24 partitions and keep them; lists the files of the tables written."""
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    tables = []
+
+    def folder(spark, name):
+        tables.append((name, tmp_path / str(len(tables)) / name))
+        return str(tables[-1][1])
+
+    monkeypatch.setattr(common, "folder", folder)
+    yield lambda: [(name, len(list(path.glob("part-*")))) for name, path in tables]
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_few_links_are_written_in_one_file_a_step(spark, many_partitions):
+    pairs = [(i, i + 1) for i in range(0, 90)] + [(200, i) for i in range(201, 300)]
+    found = components.components(spark.createDataFrame(pairs, "a long, b long"))
+    nodes = {n for p in pairs for n in p}
+    assert {r["node"]: r["root"] for r in found.collect()} == reachable(nodes, pairs)
+    files = [n for name, n in many_partitions() if name == "stars"]
+    assert len(files) > 2
+    assert set(files) == {1}
+
+
+def test_links_beyond_a_file_are_written_in_several(spark, many_partitions, monkeypatch):
+    monkeypatch.setattr(common, "in_files", lambda df, rows, a_file=40: df.coalesce(max(1, -(-rows // a_file))))
+    pairs = [(i, i + 1) for i in range(0, 300)]
+    found = components.components(spark.createDataFrame(pairs, "a long, b long"))
+    assert {r["root"] for r in found.collect()} == {0}
+    assert all(n > 4 for name, n in many_partitions() if name == "stars")
+
+
+def test_few_documents_are_kept_in_few_files(spark, many_partitions, docs, corpus):
+    kept = simhash.keep_one(docs)
+    assert kept.rdd.getNumPartitions() == 1
+    fps = {d: plain_fingerprint(t) for d, t, *_ in corpus}
+    links = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2]
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(reachable(fps, links).values()))
+    small = ("fingerprint-nodes", "stars", "fingerprint-names", "kept")
+    assert all(n == 1 for name, n in many_partitions() if name in small)
+
+
 # -- SimHash ---------------------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from tradeflow.plans.store import shared_folder
 # A word is a run of characters other than these six.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+ROWS_A_FILE, TEXTS_A_FILE = 100_000, 2_000  # of a few numbers each, and of whole documents
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -20,9 +21,23 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: later jobs read it instead of computing it again."""
+def in_files(df: DataFrame, rows: int, a_file: int = ROWS_A_FILE) -> DataFrame:
+    """df of at most so many rows in no more partitions than these need, however many a shuffle made.
+
+    Each file a task writes costs a task, and on a local disk child processes of the executor as well, which
+    count as large as the executor until they have started. Partitions are merged, never split.
+    """
+    return df.coalesce(max(1, -(-rows // a_file)))
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df as a table in the shared folder: later jobs read it instead of computing it again.
+
+    rows: a bound of the number of rows, where one is known; few rows then go into few files.
+    """
     path = folder(df.sparkSession, name)
+    if rows is not None:
+        df = in_files(df, rows)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,8 @@ of a node on the smallest node known there, a small-star step does so with the s
 links shrink to stars around the smallest node of each component in about log(n) squared steps. A step is
 two sums by key and two joins. A hub's links meet one row of minima in a join, which
 adaptive execution may split; nothing is gathered per node. Every step is written to the shared
-folder, so lost executors cost one step at most.
+folder, so lost executors cost one step at most. A step makes at most two links of one, so the links
+of the step before bound its files.
 """
 
 from __future__ import annotations
@@ -32,6 +33,11 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.filter("a != b").unionByName(hung).distinct()
 
 
+def _mark(links: DataFrame) -> tuple:
+    """Number of the links and a sum over them, which tell whether a step has changed any."""
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame, most_steps: int = 60) -> DataFrame:
     """node, root for every node of the links (a, b); the root is the smallest node reachable.
 
@@ -44,13 +50,13 @@ def components(links: DataFrame, most_steps: int = 60) -> DataFrame:
         .distinct(),
         "links",
     )
-    mark = None
+    mark = _mark(now)
     for _ in range(most_steps):
-        now = written(_small_star(_large_star(now)), "stars")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
+        now = written(_small_star(_large_star(now)), "stars", rows=2 * mark[0])
+        seen = _mark(now)
+        if seen == mark:
             break
-        mark = tuple(seen)
+        mark = seen
     else:
         raise RuntimeError(f"components still change after {most_steps} steps")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tradeflow.llm.common import fresh, quoted, written
+from tradeflow.llm.common import TEXTS_A_FILE, fresh, in_files, quoted, written
 from tradeflow.llm.components import components
 
 BITS = 64
@@ -203,14 +203,10 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
 
 
-def clustered(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    shingle: int = SHINGLE,
-    distance: int = DISTANCE,
-) -> DataFrame:
-    """key, row (a hash of the row), fp and component_id of every row, all written."""
+def _clustered(
+    docs: DataFrame, key: str, text: str, shingle: int, distance: int
+) -> tuple[DataFrame, int]:
+    """What clustered() returns, and its number of rows."""
     rows = written(
         docs.select(
             quoted(key).alias("key"),
@@ -219,14 +215,26 @@ def clustered(
         ),
         "fingerprints",
     )
-    nodes = written(rows.groupBy("fp").agg(F.min("key").alias("first")), "fingerprint-nodes")
+    n = rows.count()  # bounds what is kept by fingerprint
+    nodes = written(rows.groupBy("fp").agg(F.min("key").alias("first")), "fingerprint-nodes", rows=n)
     roots = components(links(nodes.select("fp"), distance)).withColumnRenamed("node", "fp")
     of = nodes.join(roots, "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     names = of.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(of.join(names, "root").select("fp", "root", "component_id"), "fingerprint-names")
-    return rows.join(named, "fp")
+    named = written(of.join(names, "root").select("fp", "root", "component_id"), "fingerprint-names", rows=n)
+    return rows.join(named, "fp"), n
+
+
+def clustered(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+) -> DataFrame:
+    """key, row (a hash of the row), fp and component_id of every row, all written."""
+    return _clustered(docs, key, text, shingle, distance)[0]
 
 
 def keep_one(
@@ -237,11 +245,11 @@ def keep_one(
     distance: int = DISTANCE,
 ) -> DataFrame:
     """One document of each component, the one with the smallest id, with the columns of docs."""
-    rows = clustered(docs, key, text, shingle, distance)
+    rows, most = _clustered(docs, key, text, shingle, distance)
     kept = rows.groupBy("root").agg(
         F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "row")).alias("k")
     )
-    kept = written(kept.select("k.key", "k.row"), "kept")
+    kept = written(kept.select("k.key", "k.row"), "kept", rows=most)
     own, row, n = fresh(docs.columns, "kept_key", "kept_row", "kept_n")
     columns = [quoted(c) for c in docs.columns]
     hashed = docs.select(*columns, F.xxhash64(*columns).alias(row))
@@ -251,7 +259,8 @@ def keep_one(
     )
     # Rows alike in every column all match; one of them stays.
     once = Window.partitionBy(own, row + "_of").orderBy(F.lit(0))
-    return joined.withColumn(n, F.row_number().over(once)).filter(F.col(n) == 1).select(*columns)
+    found = joined.withColumn(n, F.row_number().over(once)).filter(F.col(n) == 1).select(*columns)
+    return in_files(found, kept.count(), TEXTS_A_FILE)
 
 
 def simhash(docs: DataFrame) -> DataFrame:
