@@ -11,9 +11,12 @@ from tradeflow.session import local_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(
-        4, "tests", **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
-    )
+    settings = {
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        # The suite runs more than the 1,000 queries that are kept by default; a test counts on none being dropped.
+        "spark.sql.ui.retainedExecutions": "100000",
+    }
+    session = local_session(4, "tests", **settings)
     yield session
     session.stop()
 
