@@ -178,6 +178,28 @@ def test_vocabulary_is_the_library(monkeypatch):
             assert part.tolist() == [*vocabulary.library.encode(text, add_special_tokens=False).ids, 0], text
 
 
+def test_parts_are_cut_where_the_library_cuts():
+    signs = [*"abZ éÉ×÷ßȿɀɏƻжЖ中가 \t\n\r\x0b\x0c\x00\x1c\x85\xa0\u1680\u2003\u2028\u202f\u200b\u3000.,'!9²_`{~@[😀\u0301"]
+    signs += ["'s", " the", "<|endoftext|>", "<|endoftext", "|>", "  ", "\n\n"]
+    rng = np.random.default_rng(7)
+    vocabulary = packed.Vocabulary(packed.default_vocabulary())
+    for _ in range(30):
+        texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 30, 200)]
+        lengths, ids = vocabulary.encode_batch(texts)
+        for text, part in zip(texts, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
+            assert part.tolist() == [*vocabulary.library.encode(text, add_special_tokens=False).ids, 0], text
+
+
+def test_a_word_is_one_entry_whatever_stands_behind_it(monkeypatch):
+    vocabulary = packed.Vocabulary(packed.default_vocabulary())
+    asked, marks = [], ".,;:!?)"
+    monkeypatch.setattr(vocabulary, "_encode", lambda t, ask=vocabulary._encode: asked.append(t) or ask(t))
+    for _ in range(2):
+        vocabulary.encode_batch(["".join(word + m for m in marks) for word in (" stonewall", " Größe")])
+    assert vocabulary.n_places == 2 + len(marks) + 2  # words, marks, the end and what stands for it among the parts
+    assert not any("stonewall" in t or "Größe" in t for t in asked)  # the model alone is asked for words
+
+
 def test_token_files(docs, corpus, monkeypatch):
     library = packed.vocabulary(packed.default_vocabulary()).library
     found = by_id(packed.packed(docs))

@@ -30,6 +30,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -201,36 +202,63 @@ def read_file(file) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         yield key, named, np.concatenate(parts) if len(parts) != 1 else parts[0]
 
 
-# What the vocabulary's pattern treats as white space, and letters that it never joins with
-# the ASCII characters that are neither letters nor white space.
-_WIDE = "\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_WHITE = f"\\x09-\\x0d\\x20{_WIDE}"
-_LATIN = "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f"
-_PARTS = re.compile(
-    f"[{_WHITE}]*[{_LATIN}]+(?=[{_WHITE}!-@\\[-`{{-~]|\\Z)|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+"
-).findall
-_WIDE_SPACE = re.compile(f"[{_WIDE}]").search
-_INSIDE = ("  ", "\t ", "\n ", "\x0b ", "\x0c ", "\r ")
-
-
-def _spaced(text: str) -> bool:
-    """Whether the text can be cut at its spaces: none stands in a longer run of white space."""
-    return not (
-        text[-1:].isspace()
-        or any(run in text for run in _INSIDE)
-        or not text.isascii()
-        and _WIDE_SPACE(text)
-    )
+# What the vocabulary's pattern treats as white space beside the ASCII characters of that kind, in UTF-8.
+_WIDE = [c.encode() for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))]
+_WIDE_2, _WIDE_3 = ([int.from_bytes(c) for c in _WIDE if len(c) == n] for n in (2, 3))
+# Kinds of bytes. LETTER: of a Latin letter up to U+023F, which the pattern never joins with a MARK behind it, or behind
+# the first byte of a character. MARK: ASCII, neither letter nor white space. OTHER: first of another character.
+OTHER, WHITE, LETTER, MARK = range(4)
+_KIND = np.full(256, OTHER, dtype=np.uint8)
+_KIND[:0x80] = MARK
+_KIND[[0x20, *range(0x09, 0x0E)]] = WHITE
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xC9)]] = LETTER
+# One space and such letters: one word to the pattern, whatever stands beside it.
+_WORD = re.compile(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf])+").fullmatch
+# The characters that byte-level vocabularies write bytes as: printing ones are themselves, the others follow from 256 on.
+_PRINTING = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_WRITTEN = {b: 0x100 + n for n, b in enumerate(b for b in range(0x100) if b not in _PRINTING)}
+
+
+def _parts(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Parts of all texts in a row, each text with an end part behind it, and where the end parts are.
+
+    A part starts with each run of white space, and with the MARK behind letters that make up a part so far.
+    """
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"\0".join([b"", *raw, b""]), dtype=np.uint8)
+    ends = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    kind = _KIND[data]
+    signs = np.nonzero(data == 0xC3)[0]  # multiplication and division, among letters
+    kind[signs[np.isin(data[signs + 1], (0x97, 0xB7))]] = OTHER
+    at = np.nonzero(kind == OTHER)[0]
+    at = at[data[at] <= 0xE3]
+    if len(at):
+        code = data[at].astype(np.uint32) << 16 | data[at + 1].astype(np.uint32) << 8 | data[at + 2]
+        two, three = at[np.isin(code >> 8, _WIDE_2)], at[np.isin(code, _WIDE_3)]
+        for places in (two, two + 1, three, three + 1, three + 2):
+            kind[places] = WHITE
+    white = kind == WHITE
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[1:-1] = white[1:] > white[:-1]
+    cut[ends] = cut[ends + 1] = True
+    white[ends] = True  # letters may stand at the start of a text
+    no_letters = np.nonzero(kind != LETTER)[0]
+    before, behind = no_letters[:-1], no_letters[1:]
+    cut[behind[(behind - before > 1) & (kind[behind] == MARK) & white[before]]] = True
+    offsets = np.nonzero(cut)[0][1:]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+    found = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
+    return found, np.searchsorted(offsets, ends[1:])
 
 
 class Vocabulary:
-    """Ids by the tokenizers library, asked once for a part of a word that a worker meets.
+    """Ids by the tokenizers library, asked once for a part of a text that a worker meets.
 
     The library's pattern never reaches across the start of a run of white space, nor between a
     Latin letter and ASCII punctuation or digits behind it, so ids of such parts side by side are
-    those of the whole text. New parts go to the library in one string, with its special token
-    between them. Texts are looked up by the words between their spaces. Ids of all words and parts
-    lie in one table; a word or part is a place in it. A part with one space in front is a word.
+    those of the whole text. New words of letters go to the library's model, which is the step behind the
+    pattern; other new parts go through the whole library in one string, with its special token between them. Parts are cut and told apart as arrays, a block of texts at a time, so that the table of
+    all parts met is looked up once a block for each; their ids lie in one row, and a part is a place in it.
     """
 
     CACHED, LONGEST, MOST_IDS = 1_600_000, 64, 24_000_000
@@ -244,11 +272,19 @@ class Vocabulary:
             raise ValueError("the vocabulary needs a special token to put between parts")
         self.between = special[0].content
         self.between_id = self.library.token_to_id(self.between)
+        self.model = self._model()
         self.clear()
 
+    def _model(self):
+        """The model, if the pattern is the only step before it and each of its words has one result."""
+        from tokenizers import models, pre_tokenizers
+
+        before, model = self.library.pre_tokenizer, self.library.model
+        plain = isinstance(before, pre_tokenizers.ByteLevel) and before.use_regex and self.library.normalizer is None
+        return model if plain and isinstance(model, models.BPE) and not model.dropout else None
+
     def clear(self) -> None:
-        self.words: dict[str | None, int] = {None: 0}  # by what follows a space
-        self.parts: dict[str, int] = {}  # other parts
+        self.parts: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.length = np.zeros(1 << 14, dtype=np.int64)
@@ -270,80 +306,52 @@ class Vocabulary:
         self.n_places += len(lengths)
         return range(places.start, places.stop)
 
-    def _gather(self, places: list[int] | np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of places in a row, and how many come from each run of `sizes` places."""
-        at = np.asarray(places, dtype=np.int64)
-        lengths = self.length[at]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        source = np.arange(ends[-1]) - np.repeat(ends[:-1] - self.start[at], lengths)
-        return self.flat[source], np.diff(ends[np.cumsum([0, *sizes])])
-
     def _encode(self, text: str) -> np.ndarray:
         found = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(found.ids, dtype=np.uint32)
 
-    def _learn_parts(self, new: list[str]) -> dict[str, int]:
+    def _learn(self, new: list[bytes]) -> np.ndarray:
         """Places of parts that the library is asked for."""
-        found: dict[str, int] = {}
-        for lo in range(0, len(new), 5000):
-            some = [s for s in new[lo : lo + 5000] if self.between not in s]
-            ids = self._encode(self.between.join(some))
+        places = np.empty(len(new), dtype=np.int64)
+        words = [i for i, p in enumerate(new) if _WORD(p)] if self.model else []
+        if words:
+            ask = self.model.tokenize
+            found = [[t.id for t in ask(new[i].decode("latin-1").translate(_WRITTEN))] for i in words]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            places[words] = self._append(np.fromiter(chain.from_iterable(found), np.uint32), lengths)
+        others = sorted({*range(len(new))}.difference(words))
+        texts = {i: new[i].decode() for i in others}
+        plain = [i for i in others if self.between not in texts[i]]
+        for lo in range(0, len(plain), 5000):
+            some = plain[lo : lo + 5000]
+            ids = self._encode(self.between.join([texts[i] for i in some]))
             cuts = np.nonzero(ids == self.between_id)[0]
             lengths = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
-            if some:
-                found.update(zip(some, self._append(np.delete(ids, cuts), lengths), strict=True))
-        for s in new:
-            if self.between in s:
-                ids = self._encode(s)
-                found[s] = self._append(ids, np.array([len(ids)]))[0]
-        return found
-
-    def _learn(self, texts: list[str]) -> range:
-        """Places of texts, made of their parts."""
-        cut = [_PARTS(t) for t in texts]
-        flat = list(chain.from_iterable(cut))
-        words, parts = self.words, self.parts
-        places = [words.get(s[1:]) if s[0] == " " else parts.get(s) for s in flat]
-        new = {s for s, place in zip(flat, places, strict=True) if place is None}
-        told = self._learn_parts(list(new))
-        places = [told[s] if p is None else p for s, p in zip(flat, places, strict=True)]
-        for s, place in told.items():
-            if len(s) <= self.LONGEST:
-                if s[0] == " ":
-                    words[s[1:]] = place
-                else:
-                    parts[s] = place
-        return self._append(*self._gather(places, [len(c) for c in cut]))
+            places[some] = self._append(np.delete(ids, cuts), lengths)
+        for i, t in texts.items():
+            if self.between in t:
+                ids = self._encode(t)
+                places[i] = self._append(ids, np.array([len(ids)]))[0]
+        self.parts.update((p, at) for p, at in zip(new, places.tolist(), strict=True) if len(p) <= self.LONGEST)
+        return places
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Length of each text in ids, the end id included, and all ids in a row."""
-        if len(self.words) + len(self.parts) > self.CACHED or self.n_flat > self.MOST_IDS:
+        if len(self.parts) > self.CACHED or self.n_flat > self.MOST_IDS:
             self.clear()
-        heads, tokens, sizes = [], [], []
-        for t in texts:
-            cut = t.split(" ") if _spaced(t) else [t]
-            heads.append(cut[0])
-            cut[0] = None  # the head has no space in front; None stands for it, and for the end
-            cut.append(None)
-            tokens += cut
-            sizes.append(len(cut))
-        words = self.words
-        places = np.fromiter(map(words.get, tokens, repeat(-1)), np.int64, len(tokens))
-        missing = np.nonzero(places < 0)[0].tolist()
-        if missing:
-            new = {tokens[i] for i in missing}
-            plain = self._learn_parts([" " + w for w in new if w.isalpha()])  # one part each
-            told = {part[1:]: place for part, place in plain.items()}
-            words.update((w, place) for w, place in told.items() if len(w) <= self.LONGEST)
-            mixed = [w for w in new if not w.isalpha()]
-            told.update(zip(mixed, self._learn([" " + w for w in mixed]), strict=True))
-            places[missing] = [told[tokens[i]] for i in missing]
-            words.update((w, told[w]) for w in mixed if len(w) <= self.LONGEST)
-        ends = np.cumsum(sizes)
-        places[ends - sizes] = self._learn(heads)
-        places[ends - 1] = self.end
-        ids, lengths = self._gather(places, sizes)
-        return lengths, ids
+        parts, ends = _parts(texts)
+        parts = parts.dictionary_encode()
+        unlike = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = np.fromiter(map(self.parts.get, unlike, repeat(-1)), np.int64, len(unlike))
+        missing = np.nonzero(known < 0)[0]
+        if len(missing):
+            known[missing] = self._learn([unlike[i] for i in missing.tolist()])
+        places = known[parts.indices.to_numpy()]
+        places[ends] = self.end
+        lengths = self.length[places]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        source = np.arange(upto[-1]) - np.repeat(upto[:-1] - self.start[places], lengths)
+        return np.diff(upto[np.concatenate([[0], ends + 1])]), self.flat[source]
 
 
 @lru_cache(maxsize=2)
@@ -357,7 +365,7 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 2_000_000
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.Series, list[str]]]:
