@@ -345,3 +345,20 @@ def test_rows_that_share_id_and_text_find_their_spans_once(spark, key):
     assert max(len(r.spans) for r in spans.collect()) <= 60
     found = substrings.substring_dedup(docs).groupBy("doc_id", "n_words", "n_removed").count().collect()
     assert sorted(map(tuple, found), key=repr) == sorted([(1, 61, 0, 1), (key, 63, 60, 4_000)], key=repr)
+
+
+def test_few_substrings_are_written_in_few_files(spark, many_partitions, monkeypatch):
+    rows = passages(4)
+    told = {d: t[:3] for d, t in kept_words(rows).items()}
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    for most in (1, 4):
+        before = len(many_partitions())
+        if most > 1:  # texts and rows beyond one file
+            monkeypatch.setattr(substrings, "TEXT_A_FILE", sum(len(t.encode()) for _, t in rows) // 4 + 1)
+        result = substrings.substring_dedup(table)
+        assert result.rdd.getNumPartitions() == most
+        assert {d: (r["n_words"], r["n_removed"], r["kept_sha256"]) for d, r in by_id(result).items()} == told
+        files = dict(many_partitions()[before:])
+        assert len(files) == 9
+        assert {n for name, n in files.items() if name not in ("runs", "windows")} == {1}
+        assert files["runs"] == most and 1 <= files["windows"] <= most

@@ -13,6 +13,9 @@ around common phrases, the windows of the smallest document of each class are co
 hashes, and each takes the smallest document among the classes that hold it. Neighbouring repeated windows,
 over all runs, join to maximal repeats of at least WINDOW words.
 
+Tables between the steps go into the files that their rows or texts need, however many partitions a shuffle or the
+input has; large ones stay as they are dealt. For that, texts are measured and two tables counted.
+
 No pairs of documents are formed. Sums by key combine on the map side, and what a hot anchor, class
 or window meets in a join is one row of a written table, so adaptive execution can split it.
 
@@ -34,11 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import quoted, written
+from tradeflow.llm.common import in_files, quoted, written
 
 WINDOW, GRAM = 50, 12
 CACHED = 1_000_000
 BATCH_CHARS = 2_000_000
+TEXT_A_FILE = 4_000_000  # bytes of texts that a task reads at least, where it writes a file
 NO_ID = 2**63 - 1
 # Odd multipliers of the two polynomial hashes.
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD95)
@@ -182,48 +186,54 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.concat(out, ignore_index=True)
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def _text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+
+def repeats(docs: DataFrame, size: int | None = None) -> DataFrame:
     """key, th, spans: first words of repeated windows, as (from, to) with both ends included.
 
-    docs has key (never null), th (hash of the text) and text.
+    docs has key (never null), th (hash of the text) and text; size is that of all texts in bytes, if it is known.
     """
-    runs = written(docs.mapInPandas(_seeds, RUNS), "runs")
+    size = _text_bytes(docs) if size is None else size
+    runs = written(in_files(docs.mapInPandas(_seeds, RUNS), size, TEXT_A_FILE), "runs")
+    n = runs.count()  # of the tables made of runs, none has more rows
     shared = (
         runs.groupBy("anchor")
         .agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
         .filter("lo < hi")
         .select("anchor")
     )
-    shared = written(shared, "shared-anchors")
-    runs = written(runs.join(shared, "anchor"), "shared-runs")
+    shared = written(shared, "shared-anchors", rows=n)
+    runs = written(runs.join(shared, "anchor"), "shared-runs", rows=n)
     reach = ["anchor", "r1", "r2", "n"]
     classes = written(
-        runs.groupBy(*reach).agg(F.min("key").alias("lo"), F.max("key").alias("hi")), "run-classes"
+        runs.groupBy(*reach).agg(F.min("key").alias("lo"), F.max("key").alias("hi")), "run-classes", rows=n
     )
     several = written(
-        classes.groupBy("anchor").count().filter("count > 1").select("anchor"), "unlike-anchors"
+        classes.groupBy("anchor").count().filter("count > 1").select("anchor"), "unlike-anchors", rows=n
     )
-    unlike = written(classes.join(several, "anchor").select(*reach, "lo"), "unlike-classes")
+    unlike = written(classes.join(several, "anchor").select(*reach, "lo"), "unlike-classes", rows=n)
     asked = (
         runs.join(unlike, reach)
         .filter("key = lo")  # the document that stands for the class, wherever it holds the run
         .groupBy("key", "th")
         .agg(F.collect_set(F.struct("start", "n")).alias("asked"))  # repeated rows ask once
     )
-    asked = written(asked, "asked-runs")
-    windows = written(
+    asked = written(asked, "asked-runs", rows=n)
+    windows = (
         docs.join(asked, ["key", "th"])
         .select("key", "th", "text", "asked")
-        .mapInPandas(_windows, WINDOWS),
-        "windows",
+        .mapInPandas(_windows, WINDOWS)
     )
+    windows = written(in_files(windows, size, TEXT_A_FILE), "windows")
     least = (
         windows.groupBy("w1", "w2")
         .agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
         .filter("lo < hi")
         .select("w1", "w2", "lo")
     )
-    least = written(least, "repeated-windows")
+    least = written(least, "repeated-windows", rows=windows.count())
     in_firsts = windows.join(least, ["w1", "w2"]).filter("key > lo").select(
         "key", "th", F.col("start").alias("from"), F.col("start").alias("to")
     )
@@ -282,17 +292,20 @@ def _without(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "text": kept})
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the kept words of each text, joined by one space."""
+def _with_spans(docs: DataFrame, key: str, text: str, each, schema: str) -> DataFrame:
+    """What `each` makes of documents and their spans."""
     keyed = _keyed(docs, key, text)
-    found = repeats(keyed.select("key", "th", "text"))
+    size = _text_bytes(keyed)
+    found = repeats(keyed.select("key", "th", "text"), size)
     rows = keyed.join(found, ["key", "th"], "left").select("doc_id", "text", "spans")
-    return rows.mapInPandas(_without, "doc_id long, text string")
+    return in_files(rows.mapInPandas(each, schema), size, TEXT_A_FILE)
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and the kept words of each text, joined by one space."""
+    return _with_spans(docs, key, text, _without, "doc_id long, text string")
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """Digest of the kept words, one row per document."""
-    keyed = _keyed(docs, "doc_id", "text")
-    found = repeats(keyed.select("key", "th", "text"))
-    rows = keyed.join(found, ["key", "th"], "left").select("doc_id", "text", "spans")
-    return rows.mapInPandas(_digest, DIGEST)
+    return _with_spans(docs, "doc_id", "text", _digest, DIGEST)
